@@ -1,0 +1,41 @@
+"""Flights merged to routes, for when airports are too many to broadcast."""
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from skymetrics.operators.enrich import ROLE_CODES
+
+# How many flights a row stands for; rows without this column stand for one.
+WEIGHT = "n_flights"
+
+
+def will_broadcast(df: DataFrame) -> bool:
+    """Whether Spark would broadcast ``df`` to a join: its own size estimate and threshold."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= threshold
+
+
+def merge_routes(flights: DataFrame, airports: DataFrame, *keep: str) -> DataFrame:
+    """Flights as they should meet ``airports``: one by one, or counted per route.
+
+    With airports that Spark broadcasts, flights join them where they are and nothing is gained
+    by merging. Otherwise both joins shuffle. Counting flights per pair of airports (and
+    ``keep``) on the map side comes first then, so that a busy route is one row however many
+    flights it has, and a busy airport has as many rows as it has routes.
+    """
+    if will_broadcast(airports):
+        return flights
+    return flights.groupBy(*ROLE_CODES.values(), *keep).agg(F.count("*").alias(WEIGHT))
+
+
+def flight_count(df: DataFrame) -> Column:
+    """Aggregate: the number of flights in a group of rows."""
+    return F.sum(WEIGHT) if WEIGHT in df.columns else F.count("*")
+
+
+def flight_mean(df: DataFrame, measure: str) -> Column:
+    """Aggregate: the mean of ``measure`` over the flights in a group of rows."""
+    if WEIGHT not in df.columns:
+        return F.avg(measure)
+    return F.sum(F.col(measure) * F.col(WEIGHT)) / F.sum(WEIGHT)

@@ -28,12 +28,12 @@ def assign_zone(
 
     A short zone list, the usual case, is decided inside a projection: no join, no shuffle,
     and the size estimate of ``points`` survives, so later joins can still broadcast it. The
-    length is checked first with a job that stops after ``inline_zones`` rows.
+    length is checked first, by looking for one row past ``inline_zones``.
     """
     for corner in _CORNERS:
         # Spark orders NaN above every number; as a corner it must match nothing.
         zones = zones.filter(~F.isnan(corner))
-    if zones.limit(inline_zones + 1).count() <= inline_zones:
+    if zones.offset(inline_zones).isEmpty():
         return _assign_inline(points, zones, lat, lon, name)
     return _assign_by_tile(points, zones, lat, lon, name)
 

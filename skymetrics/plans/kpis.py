@@ -10,13 +10,10 @@ from skymetrics.operators.counts import (
     regional_by_airline,
     usage_by_country,
 )
-from skymetrics.operators.enrich import (
-    with_airports,
-    with_distance,
-    zoned_airports,
-)
+from skymetrics.operators.enrich import with_airports, with_distance, zoned_airports
 from skymetrics.operators.filters import located, ongoing
 from skymetrics.operators.ranking import largest_first, top_n
+from skymetrics.operators.routes import merge_routes
 from skymetrics.schemas import FLIGHTS
 
 
@@ -41,9 +38,9 @@ def airline_with_most_regional_flights(
     flights: DataFrame, airports: DataFrame, airlines: DataFrame, zones: DataFrame
 ) -> DataFrame:
     """Per continent, the airline with the most flights that stay on it."""
-    counts = regional_by_airline(
-        with_airports(flights, zoned_airports(airports, zones)), airlines
-    )
+    zoned = zoned_airports(airports, zones)
+    routes = with_airports(merge_routes(flights, zoned, "airlineCode"), zoned)
+    counts = regional_by_airline(routes, airlines)
     order = largest_first("regional_flight_count", "airlineCode", "airline_name")
     return top_n(counts, order, per=["originContinent"])
 
@@ -59,9 +56,9 @@ def average_flight_distance_by_continent(
     flights: DataFrame, airports: DataFrame, zones: DataFrame
 ) -> DataFrame:
     """Mean distance of all flights, per continent of origin."""
-    return mean_distance_by_origin(
-        with_distance(with_airports(flights, zoned_airports(airports, zones)))
-    )
+    zoned = zoned_airports(airports, zones)
+    routes = with_airports(merge_routes(flights, zoned), zoned)
+    return mean_distance_by_origin(with_distance(routes))
 
 
 def aircraft_with_most_active_flights(flights: DataFrame) -> DataFrame:

@@ -1,0 +1,59 @@
+"""Small tables for tests, and a plain restatement of what the geography has to give."""
+
+import math
+
+from skymetrics.schemas import AIRLINES, AIRPORTS, FLIGHTS, ZONES
+
+EUROPE = (0, "europe", "north", 70.0, -10.0, 50.0, 40.0)
+OVERLAP = (1, "arctic", None, 80.0, 0.0, 60.0, 60.0)
+DATE_LINE = (2, "oceania", "line", 0.0, 110.0, -50.0, -170.0)
+AFRICA = (3, "africa", None, 38.0, -20.0, -36.0, 53.0)
+BOXES = [EUROPE, OVERLAP, DATE_LINE, AFRICA]
+
+
+def flights(spark, *rows):
+    """Rows of (id, aircraft, airline, origin, destination, status)."""
+    return spark.createDataFrame(list(rows), FLIGHTS)
+
+
+def airports(spark, *rows):
+    """Rows of (id, lat, long)."""
+    return spark.createDataFrame([(i, f"name {i}", a, b, "land") for i, a, b in rows], AIRPORTS)
+
+
+def airlines(spark, *rows):
+    """Rows of (icao, name, country)."""
+    return spark.createDataFrame([("c", *row) for row in rows], AIRLINES)
+
+
+def zones(spark, rows=BOXES):
+    return spark.createDataFrame(list(rows), ZONES)
+
+
+def tuples(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+def first_zone(lat, lon, boxes):
+    """The continent of the lowest numbered box that holds a point."""
+    if lat is None or lon is None:
+        return None
+    holding = [b for b in boxes if b[5] <= lat <= b[3] and b[4] <= lon <= b[6]]
+    return min(holding)[1] if holding else None
+
+
+def arc_km(lat1, lon1, lat2, lon2):
+    """Great-circle distance by the haversine formula, to check one formula by another."""
+    p, q = math.radians(lat1), math.radians(lat2)
+    h = (
+        math.sin((q - p) / 2) ** 2
+        + math.cos(p) * math.cos(q) * math.sin(math.radians(lon2 - lon1) / 2) ** 2
+    )
+    return 2 * 6371 * math.asin(math.sqrt(min(1.0, h)))
+
+
+def final_plan(df):
+    """Runs a query and returns its plan as adaptive execution left it."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("+- == Initial Plan ==")[0]

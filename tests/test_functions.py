@@ -1,0 +1,95 @@
+import math
+import random
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from skymetrics.functions import great_circle_km, hour_columns, hour_values, parse_double
+from tests.helpers import arc_km
+
+POINTS = "a double, b double, c double, d double"
+
+
+def km(spark, *rows):
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "i int, " + POINTS)
+    out = df.select("i", great_circle_km(*(F.col(c) for c in "abcd")).alias("km"))
+    return [row.km for row in out.orderBy("i").collect()]
+
+
+def test_distance_of_equal_and_opposite_points(spark):
+    same, near, poles, antipodes = km(
+        spark,
+        (48.8566, 2.3522, 48.8566, 2.3522),
+        (52.3105, 4.7683, 52.3105, 4.7683),
+        (90.0, 0.0, -90.0, 77.0),
+        (10.0, 20.0, -10.0, -160.0),
+    )
+    assert same == pytest.approx(0, abs=1e-3) and near == pytest.approx(0, abs=1e-3)
+    assert poles == pytest.approx(math.pi * 6371)
+    assert antipodes == pytest.approx(math.pi * 6371, abs=1e-3)
+
+
+@pytest.mark.parametrize("bad", [None, float("nan"), float("inf"), float("-inf")])
+def test_distance_needs_four_finite_coordinates(spark, bad):
+    rows = [[1.0, 2.0, 3.0, 4.0] for _ in range(4)]
+    for i, row in enumerate(rows):
+        row[i] = bad
+    assert km(spark, *map(tuple, rows)) == [None] * 4
+
+
+def test_distance_is_symmetric_bounded_and_agrees_with_haversine(spark):
+    rng = random.Random(7)
+    rows = [
+        (rng.uniform(-90, 90), rng.uniform(-180, 180), rng.uniform(-90, 90), rng.uniform(-180, 180))
+        for _ in range(2000)
+    ]
+    there = km(spark, *rows)
+    back = km(spark, *((c, d, a, b) for a, b, c, d in rows))
+    for row, x, y in zip(rows, there, back):
+        assert x == pytest.approx(y, abs=1e-6)
+        assert 0 <= x <= math.pi * 6371
+        assert x == pytest.approx(arc_km(*row), abs=1e-3)
+
+
+@pytest.mark.parametrize(
+    ("text", "number"),
+    [
+        ("12.5", 12.5),
+        ("-0.25", -0.25),
+        ("+3", 3.0),
+        ("0", 0.0),
+        (".5", 0.5),
+        ("5.", 5.0),
+        ("1e3", 1000.0),
+        (" 7.5 ", 7.5),
+        ("inf", math.inf),
+        ("", None),
+        (" ", None),
+        ("bad", None),
+        ("1.5d", None),
+        ("2f", None),
+        ("0x1p3", None),
+        ("1,5", None),
+        ("12.5N", None),
+        (None, None),
+    ],
+)
+def test_parse_double(spark, text, number):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(parse_double(F.col("t"))).first()[0] == number
+
+
+def test_hour_keys_are_padded(spark):
+    at = datetime(2024, 3, 5, 7, 59)
+    keys = {"tech_year": "2024", "tech_month": "03", "tech_day": "05", "tech_hour": "07"}
+    assert hour_values(at) == keys
+    df = spark.createDataFrame([(at,)], "ts timestamp_ntz")
+    assert df.select(*hour_columns(F.col("ts"))).first().asDict() == keys
+
+
+def test_hour_keys_of_zoneless_times_ignore_the_session_zone(spark, conf):
+    # 02:30 on this day does not exist in Paris.
+    conf("spark.sql.session.timeZone", "Europe/Paris")
+    df = spark.createDataFrame([(datetime(2024, 3, 31, 2, 30),)], "ts timestamp_ntz")
+    assert df.select(*hour_columns(F.col("ts"))).first().tech_hour == "02"

@@ -1,0 +1,123 @@
+import json
+
+from skymetrics.schemas import AIRLINES, AIRPORTS, FLIGHTS, REJECTED, ZONES
+from skymetrics.sources import landing
+from tests.helpers import tuples
+
+
+def land(spark, folder, lines, feed):
+    (folder / "feed.json").write_text("\n".join(lines), encoding="utf-8")
+    return landing.read_feed(spark, str(folder), feed)
+
+
+def kinds(df):
+    return [(f.name, f.dataType) for f in df.schema.fields]
+
+
+def test_flights(spark, tmp_path):
+    good = {
+        "id": "1",
+        "aircraft_code": "A320",
+        "airline_icao": "AFR",
+        "origin_airport_iata": "CDG",
+        "destination_airport_iata": "",
+        "on_ground": 0,
+        "extra": [1, 2],
+    }
+    broken = ['{"id": "2", "on_ground": 1', "not json", '{"id": "3", "on_ground": "yes"}', "[1]",
+              '{"id": "4", "on_ground": true}']
+    lines = [json.dumps(good), "", '{"on_ground": 1, "id": "5"}', *broken, "   "]
+    typed = land(spark, tmp_path, lines, "flights")
+    rows = landing.accepted(typed)
+    assert kinds(rows) == kinds(spark.createDataFrame([], FLIGHTS))
+    assert tuples(rows) == [
+        ("1", "A320", "AFR", "CDG", "", "0"),
+        ("5", None, None, None, None, "1"),
+    ]
+    bad = landing.rejected(typed, "flights")
+    assert kinds(bad) == kinds(spark.createDataFrame([], REJECTED))
+    assert tuples(bad) == sorted(("flights", "malformed", line) for line in broken)
+
+
+def test_a_record_is_judged_as_a_whole(spark, tmp_path):
+    lines = ['{"id": "1", "on_ground": "yes"}', '{"id": "2", "on_ground": 1}']
+    typed = land(spark, tmp_path, lines, "flights")
+    assert tuples(landing.accepted(typed).select("flightID")) == [("2",)]
+    assert landing.accepted(typed).count() == 1 and landing.rejected(typed, "flights").count() == 1
+
+
+def test_airports(spark, tmp_path):
+    def line(iata, lat, lon):
+        return json.dumps({"iata": iata, "name": "n", "latitude": lat, "longitude": lon})
+
+    lines = [line("A", "1.5", "-2"), line("B", "", "7"), line("C", None, None), line("D", 0, "0"),
+             '{"iata": "E"}', line("F", "bad", "1"), line("G", "1", "1.5d"), line("H", "x", "y"),
+             "{"]
+    typed = land(spark, tmp_path, lines, "airports")
+    rows = landing.accepted(typed)
+    assert kinds(rows) == kinds(spark.createDataFrame([], AIRPORTS))
+    assert tuples(rows.select("airportID", "airportLat", "airportLong")) == [
+        ("A", 1.5, -2.0), ("B", None, 7.0), ("C", None, None), ("D", 0.0, 0.0), ("E", None, None),
+    ]
+    assert tuples(landing.rejected(typed, "airports").select("reason", "record")) == sorted(
+        [("latitude", lines[5]), ("longitude", lines[6]), ("latitude", lines[7]),
+         ("malformed", "{")]
+    )
+
+
+def test_airlines_are_bound_by_name(spark, tmp_path):
+    lines = ['{"Name": "n", "Code": "c", "ICAO": "i", "n_aircrafts": 3}', '{"ICAO": "j"}', "?"]
+    typed = land(spark, tmp_path, lines, "airlines")
+    rows = landing.accepted(typed)
+    assert kinds(rows) == kinds(spark.createDataFrame([], AIRLINES))
+    assert tuples(rows) == [("c", "i", "n", None), (None, "j", None, None)]
+    assert landing.rejected(typed, "airlines").count() == 1
+
+
+def box(n, **more):
+    return {"tl_y": n, "tl_x": str(n + 0.5), "br_y": -n, "br_x": f"-{n}", **more}
+
+
+def test_zones_keep_the_document_order(spark, tmp_path):
+    document = {
+        "zulu": box(1, subzones={"b": box(2), "a": box(3)}),
+        "plain": box(4),
+        "hollow": box(5, subzones={}),
+        "alpha": box(6, subzones={"only": box(7)}),
+    }
+    # Indented, as one document may span lines.
+    typed = land(spark, tmp_path, json.dumps(document, indent=1).split("\n"), "zones")
+    rows = landing.accepted(typed)
+    assert kinds(rows) == kinds(spark.createDataFrame([], ZONES))
+    got = [tuple(r) for r in rows.orderBy("zone_seq").collect()]
+    assert got == [
+        (0, "zulu", "b", 2.0, 2.5, -2.0, -2.0),
+        (1, "zulu", "a", 3.0, 3.5, -3.0, -3.0),
+        (2, "plain", None, 4.0, 4.5, -4.0, -4.0),
+        (3, "alpha", "only", 7.0, 7.5, -7.0, -7.0),
+    ]
+    assert landing.rejected(typed, "zones").count() == 0
+
+
+def test_zones_that_cannot_be_read(spark, tmp_path):
+    document = json.dumps({"a": box(1), "b": {**box(2), "tl_x": "west"}, "c": {"tl_y": 1}})
+    typed = land(spark, tmp_path, [document], "zones")
+    assert tuples(landing.accepted(typed).select("zone_seq", "continent")) == [(0, "a")]
+    bad = tuples(landing.rejected(typed, "zones").select("reason", "record"))
+    assert [r[0] for r in bad] == ["tl_x", "tl_x"]
+    assert '"continent":"b"' in bad[0][1] and '"continent":"c"' in bad[1][1]
+
+    folder = tmp_path / "broken"
+    folder.mkdir()
+    typed = land(spark, folder, ["{not json"], "zones")
+    assert landing.accepted(typed).count() == 0
+    assert tuples(landing.rejected(typed, "zones")) == [("zones", "malformed", "{not json")]
+
+
+def test_each_document_counts_its_own_zones(spark):
+    rows = [(i, json.dumps({"x": box(i), "y": box(i)})) for i in range(1, 4)]
+    documents = spark.createDataFrame(rows, "doc int, value string")
+    zones = landing.accepted(landing.zones_from_documents(documents, keep=("doc",)))
+    assert tuples(zones.select("doc", "zone_seq", "tl_y")) == [
+        (i, seq, float(i)) for i in range(1, 4) for seq in (0, 1)
+    ]
