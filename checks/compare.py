@@ -60,7 +60,8 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
         start = time.time()
         found = difference(spark, con, sf_dir, name) if name in ORACLE else "no SQL"
         failures += found is not None
-        print(f"{'ok  ' if found is None else 'FAIL'} {time.time() - start:6.2f}s {name} {found or ''}", flush=True)
+        took = time.time() - start
+        print("ok  " if found is None else "FAIL", f"{took:6.2f}s", name, found or "", flush=True)
     return failures
 
 

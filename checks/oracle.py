@@ -144,7 +144,9 @@ _LONGEST = f"""
 _MEANS = """
     SELECT originContinent, round(avg(km), 3) AS average_flight_distance
     FROM geo WHERE originContinent IS NOT NULL AND km IS NOT NULL GROUP BY originContinent"""
-_TOP_AIRLINE = "SELECT airlineCode, Name AS airline_name, flight_count FROM busiest JOIN airlines ON airlineCode = ICAO"
+_TOP_AIRLINE = """
+    SELECT airlineCode, Name AS airline_name, flight_count
+    FROM busiest JOIN airlines ON airlineCode = ICAO"""
 _TOP_COUNTRIES = "SELECT * FROM ranked_countries WHERE rank <= 3"
 _TOP_AIRCRAFT = "ORDER BY active_flight_count DESC, aircraft NULLS FIRST LIMIT 1"
 
@@ -254,7 +256,8 @@ ORACLE: dict[str, str] = {
     "agg_count_regional": _with("SELECT * FROM by_continent", "by_continent"),
     "agg_avg_distance": _with(_MEANS, "geo"),
     "win_row_number_global": _with(
-        f"SELECT *, CAST(1 AS INTEGER) AS rank FROM (SELECT * FROM by_aircraft {_TOP_AIRCRAFT}) AS t",
+        f"""SELECT *, CAST(1 AS INTEGER) AS rank
+        FROM (SELECT * FROM by_aircraft {_TOP_AIRCRAFT}) AS t""",
         "by_aircraft",
     ),
     "win_top1_per_continent": _with(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skymetrics import derived
-from skymetrics.functions import HOUR_KEYS, hour_columns
+from skymetrics.functions import hour_columns
 from skymetrics.operators import counts, enrich, filters
 from skymetrics.operators.ranking import largest_first, top_n
 from skymetrics.plans import kpis

@@ -139,13 +139,15 @@ def flight_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def airport_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines of all airports, coordinates as text: '' where missing, some no number."""
-    bad = F.substring("airportID", 2, 20).cast("bigint") % 31 == 0
-    latitude = F.when(bad, "bad").otherwise(F.coalesce(F.col("airportLat").cast("string"), F.lit("")))
+    number = F.ltrim("airportID", F.lit("A")).cast("bigint")
+    latitude, longitude = (
+        F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("airportLat", "airportLong")
+    )
     record = F.struct(
         F.col("airportID").alias("iata"),
         F.col("airportName").alias("name"),
-        latitude.alias("latitude"),
-        F.coalesce(F.col("airportLong").cast("string"), F.lit("")).alias("longitude"),
+        F.when(number % 31 == 0, "bad").otherwise(latitude).alias("latitude"),
+        longitude.alias("longitude"),
         F.col("airportCountryName").alias("country"),
     )
     return airports(spark, sf_dir, country=True).select(F.to_json(record).alias("value"))
@@ -154,7 +156,7 @@ def airport_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def airline_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines of all airlines, with a field the table does not have."""
     rows = airlines(spark, sf_dir, country=True)
-    record = F.struct("Code", "ICAO", "Name", "Country", F.lit(1).alias("n_aircrafts"))
+    record = F.struct("Code", "ICAO", "Name", "Country", F.lit(1).alias("Fleet"))
     return rows.select(F.to_json(record).alias("value"))
 
 
@@ -182,11 +184,12 @@ def zone_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     pair = F.when(_multiple("s_suppkey", 2), F.concat_ws(",", nested, plain)).otherwise(
         F.concat_ws(",", plain, nested)
     )
+    document = F.concat(F.lit("{"), pair, F.lit(","), empty, F.lit("}"))
     regions = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     places = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
     return (
         table(spark, sf_dir, "supplier")
         .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.concat(F.lit("{"), pair, F.lit(","), empty, F.lit("}")).alias("value"))
+        .select("s_suppkey", document.alias("value"))
     )

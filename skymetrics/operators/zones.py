@@ -69,6 +69,9 @@ def _assign_by_tile(
         zones.filter((F.col("br_y") <= F.col("tl_y")) & (F.col("tl_x") <= F.col("br_x")))
         .withColumn("_tile_y", _tile_range("br_y", "tl_y", _TILE_LAT))
         .withColumn("_tile_x", _tile_range("tl_x", "br_x", _TILE_LON))
+        # Size estimates do not see what explode() adds, so Spark might broadcast far more than it
+        # takes this to be, and adaptive execution would not undo it.
+        .hint("merge")
     )
     # One row per distinct point, so that many rows in one place cost one lookup.
     spots = (

@@ -44,8 +44,8 @@ def ingest(spark: SparkSession, landing: str, store: str, table: str, at: dateti
     )
     good = accepted(counted)
     path = write_snapshot(clean_flights(good) if table == "flights" else good, store, table, at)
-    bad = tally.get["rejected"]
-    log.info("%s: %d records read, %d rejected, stored in %s", table, tally.get["records"], bad, path)
+    read, bad = tally.get["records"], tally.get["rejected"]
+    log.info("%s: %d records read, %d rejected, stored in %s", table, read, bad, path)
     if bad:
         path = write_snapshot(rejected(typed, table), store, f"{REJECTED}_{table}", at)
         log.warning("%s: rejected records stored in %s", table, path)

@@ -48,8 +48,9 @@ def airline_with_most_regional_flights(
 def longest_ongoing_flight(flights: DataFrame, airports: DataFrame) -> DataFrame:
     """The ongoing flight with the longest great-circle route, with all its columns."""
     routes = ongoing(flights).transform(with_airports, airports).transform(located)
-    order = largest_first("flightDistance", *FLIGHTS.names)
-    return top_n(with_distance(routes), order)
+    routes = with_distance(routes)
+    coordinates = [c for c in routes.columns if c.startswith(("airportLat_", "airportLong_"))]
+    return top_n(routes, largest_first("flightDistance", *FLIGHTS.names, *coordinates))
 
 
 def average_flight_distance_by_continent(

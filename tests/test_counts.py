@@ -59,7 +59,12 @@ def test_regional_by_airline(spark):
         for name, _ in matching(code)
     )
     got = counts.regional_by_airline(df, airlines(spark, *LINES))
-    assert got.columns == ["originContinent", "airlineCode", "airline_name", "regional_flight_count"]
+    assert got.columns == [
+        "originContinent",
+        "airlineCode",
+        "airline_name",
+        "regional_flight_count",
+    ]
     assert {r[:3]: r[3] for r in tuples(got)} == want
 
 

@@ -91,7 +91,12 @@ def test_airline_with_most_regional_flights(star, conf, threshold):
     got = kpis.airline_with_most_regional_flights(
         star.df, star.df_airports, star.df_airlines, star.df_zones
     )
-    assert got.columns == ["originContinent", "airlineCode", "airline_name", "regional_flight_count"]
+    assert got.columns == [
+        "originContinent",
+        "airlineCode",
+        "airline_name",
+        "regional_flight_count",
+    ]
     assert tuples(got) == sorted(best.values(), key=repr) and len(best) > 1
 
 

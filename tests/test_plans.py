@@ -10,6 +10,7 @@ from checks.registry import QUERIES
 from skymetrics import derived
 from skymetrics.operators import counts, enrich, filters
 from skymetrics.operators.ranking import largest_first, top_n
+from skymetrics.operators.zones import assign_zone
 from skymetrics.plans.jobs import QUESTIONS, answer
 from skymetrics.schemas import TABLES
 from skymetrics.sources.landing import accepted, read_feed
@@ -123,14 +124,16 @@ def hot_star(spark, store):
     """Stored airports, and flights of which two thirds leave one airport and go to another."""
     airports = read_snapshot(spark, store, "airports", AT, TABLES["airports"])
     hot = F.col("id") % 3 < 2
+
+    def airport(hub, others):
+        return F.when(hot, hub).otherwise(F.concat(F.lit("A"), F.col("id") % others))
+
     flights = spark.range(0, 300_000, numPartitions=8).select(
         F.col("id").cast("string").alias("flightID"),
         F.lit("a").alias("aircraft"),
         F.concat(F.lit("S"), F.col("id") % 9).alias("airlineCode"),
-        F.when(hot, "A7").otherwise(F.concat(F.lit("A"), F.col("id") % 140)).alias("airportOrigineCode"),
-        F.when(hot, "A20").otherwise(F.concat(F.lit("A"), F.col("id") % 130)).alias(
-            "airportDestinationCode"
-        ),
+        airport("A7", 140).alias("airportOrigineCode"),
+        airport("A20", 130).alias("airportDestinationCode"),
         F.lit("0").alias("flightStatus"),
     )
     return flights, airports
@@ -170,6 +173,21 @@ def test_hot_routes_are_merged_before_joins_that_shuffle(spark, store, conf, que
         assert a[:-1] == b[:-1] and a[-1] == pytest.approx(b[-1])
 
 
+def test_tiles_are_never_broadcast(spark, conf):
+    # Strips from pole to pole: estimated at a few kilobytes, some twenty tiles each.
+    conf("spark.sql.autoBroadcastJoinThreshold", "200KB")
+    boxes = spark.range(600).selectExpr(
+        "cast(id as int) zone_seq", "concat('z', id) continent", "'s' subzone",
+        "90e0 tl_y", "id * 0.6e0 - 180 tl_x", "-90e0 br_y", "id * 0.6e0 - 179.4e0 br_x",
+    )
+    points = spark.range(20_000).selectExpr("id / 150e0 - 70e0 lat", "id % 359 - 179.5e0 lon")
+    want = assign_zone(points, boxes, "lat", "lon", "zone", inline_zones=1000)
+    zoned = assign_zone(points, boxes, "lat", "lon", "zone")
+    joins = re.findall(r"(\w+Join)(?:\(skew=true\))? \[_tile_y#", final_plan(zoned))
+    assert joins == ["SortMergeJoin"]
+    assert zoned.exceptAll(want).isEmpty() and zoned.filter("zone IS NULL").isEmpty()
+
+
 def test_a_hot_airline_is_combined_before_it_moves(spark, store):
     flights, _ = hot_star(spark, store)
     hot = F.when(F.col("flightID") % 10 > 0, "S1").otherwise(F.col("airlineCode"))
