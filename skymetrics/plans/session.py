@@ -7,8 +7,8 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution picks broadcasts by measured size, merges small shuffle partitions and
 # splits the partitions of hot keys. Broadcasting a dimension of 32 MB, as counted in compressed
-# files, is far cheaper than shuffling the fact table for it. Large scan splits keep ingested files from being small, as a
-# landed text split shrinks several times on its way to Parquet.
+# files, is far cheaper than shuffling the fact table for it. Large scan splits keep ingested
+# files from being small, as a landed text split shrinks several times on its way to Parquet.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
