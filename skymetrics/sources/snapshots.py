@@ -31,6 +31,8 @@ def write_snapshot(
 def write_snapshots(df: DataFrame, root: str, table: str, ts: Column) -> str:
     """Writes each row to the hour of ``ts``, replacing exactly the hours that occur.
 
+    Rows without a time are kept too, in the folder Spark gives to null keys.
+
     Rows are brought together by hour, or each task would write a file per hour. The rebalance
     hint lets adaptive execution split an hour that is too large for one task.
     """
@@ -82,7 +84,8 @@ def latest_hour(
             return found if any(name[0] not in "_." for name in names) else None
         prefix = HOUR_KEYS[len(found)] + "="
         values = [name.removeprefix(prefix) for name in names if name.startswith(prefix)]
-        for value in sorted(values, reverse=True):
+        # Rows without a time have a folder of their own, which is no hour.
+        for value in sorted(filter(str.isdigit, values), reverse=True):
             hour = (*found, value)
             if bound is not None and hour > bound[: len(hour)]:
                 continue

@@ -121,6 +121,14 @@ def test_hourly_write_replaces_only_the_hours_it_has(spark, tmp_path):
     assert tuples(read_snapshot(spark, root, "events", two)) == [(3, two)]
 
 
+def test_rows_without_a_time_are_kept_and_are_no_hour(spark, tmp_path):
+    root, hour = str(tmp_path), datetime(2024, 1, 1, 1)
+    write_snapshots(events(spark, [(1, hour), (2, None)]), root, "events", F.col("ts"))
+    assert latest_hour(spark, root, "events") == hour
+    assert tuples(read_latest(spark, root, "events")) == [(1, hour)]
+    assert spark.read.parquet(f"{root}/events").count() == 2
+
+
 def test_a_hot_hour_is_written_by_several_tasks(spark, tmp_path, conf):
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
     conf("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
