@@ -1,7 +1,8 @@
 """Wall time of the six questions, as one JSON line.
 
 ``kpi*`` derive the star schema from the generic tables within the timed query. ``stored_*`` time
-the real flow: tables and results stored as hourly snapshots, each question reading its hour.
+the real flow: tables and results stored as hourly snapshots, each question reading its hour;
+``ingest_flights`` types, cleans and stores landed JSON lines, and stores the rejects.
 Every figure is the median of three runs after one warm-up; ``value`` sums the ``kpi*``.
 """
 
@@ -13,7 +14,7 @@ from collections.abc import Callable
 
 from checks.registry import QUERIES, RUN_HOUR
 from skymetrics import derived
-from skymetrics.plans.jobs import QUESTIONS, answer, run_kpi
+from skymetrics.plans.jobs import QUESTIONS, answer, ingest, run_kpi
 from skymetrics.plans.session import build_session, scratch_folder
 from skymetrics.sources.snapshots import write_snapshot
 
@@ -68,6 +69,10 @@ def main() -> None:
         timed[f"store_{name}"] = seconds(
             lambda n=name, t=table: write_snapshot(t, store, n, RUN_HOUR)
         )
+    landing = scratch_folder(spark, "landing")
+    derived.flight_lines(spark, SF_DIR).write.text(f"{landing}/flights")
+    landed = scratch_folder(spark, "landed")
+    timed["ingest_flights"] = seconds(lambda: ingest(spark, landing, landed, "flights", RUN_HOUR))
     for name in QUESTIONS:
         timed[f"stored_{name}"] = seconds(
             lambda n=name: drain(answer(spark, n, store, RUN_HOUR))

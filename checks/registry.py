@@ -43,10 +43,8 @@ def _km(digits: int = 6, column: str = "flightDistance") -> Column:
     return F.round(column, digits).alias(column)
 
 
-def _geography(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.with_geography(
-        derived.flights(spark, sf), derived.airports(spark, sf), derived.zones(spark)
-    )
+def _zoned(spark: SparkSession, sf: str) -> DataFrame:
+    return enrich.zoned_airports(derived.airports(spark, sf), derived.zones(spark))
 
 
 def _rounded(df: DataFrame, digits: int = 6, column: str = "flightDistance") -> DataFrame:
@@ -143,18 +141,23 @@ def filter_ongoing(spark, sf):
 
 @query
 def filter_known_continent(spark, sf):
-    return filters.known_continent(_geography(spark, sf)).select("flightID", "originContinent")
+    flights = derived.flights(spark, sf, aircraft=False)
+    zoned = enrich.with_airport(flights, _zoned(spark, sf), "origin")
+    return filters.known_continent(zoned).select("flightID", "originContinent")
 
 
 @query
 def filter_valid_distance(spark, sf):
-    return filters.measured(_geography(spark, sf)).select("flightID", _km())
+    flights = derived.flights(spark, sf, aircraft=False)
+    joined = enrich.with_airports(flights, derived.airports(spark, sf))
+    return filters.measured(enrich.with_distance(joined)).select("flightID", _km())
 
 
 @query
 def filter_regional(spark, sf):
     columns = ("flightID", "airlineCode", "originContinent", "destinationContinent")
-    return filters.regional(_geography(spark, sf)).select(*columns)
+    flights = derived.flights(spark, sf, aircraft=False)
+    return filters.regional(enrich.with_airports(flights, _zoned(spark, sf))).select(*columns)
 
 
 @query
@@ -165,7 +168,9 @@ def project_role_airport(spark, sf):
 @query
 def project_flight_geo(spark, sf):
     continents = ("originContinent", "destinationContinent")
-    return _geography(spark, sf).select(*FLIGHTS.names, _km(), *continents)
+    airports, zones = derived.airports(spark, sf), derived.zones(spark)
+    geography = enrich.with_geography(derived.flights(spark, sf), airports, zones)
+    return geography.select(*FLIGHTS.names, _km(), *continents)
 
 
 # -- joins ---------------------------------------------------------------------------------
@@ -205,19 +210,28 @@ def join_top_airline_inner(spark, sf):
 
 @query
 def zone_of_airport(spark, sf):
-    zoned = enrich.zoned_airports(derived.airports(spark, sf), derived.zones(spark))
-    return zoned.select("airportID", "airportLat", "airportLong", "continent")
+    return _zoned(spark, sf).select("airportID", "airportLat", "airportLong", "continent")
 
 
 @query
 def zone_of_flight(spark, sf):
     columns = ("originContinent", "destinationContinent")
-    return _geography(spark, sf).select(*FLIGHTS.names, *columns)
+    flights = enrich.with_airports(derived.flights(spark, sf), _zoned(spark, sf))
+    return flights.select(*FLIGHTS.names, *columns)
 
 
 # -- aggregations, rankings ----------------------------------------------------------------
 
 
+def _regional_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, ...]:
+    return (
+        derived.flights(spark, sf, aircraft=False),
+        derived.airports(spark, sf),
+        derived.airlines(spark, sf),
+        derived.zones(spark),
+    )
+
+
 @query
 def agg_count_by_airline(spark, sf):
     return counts.ongoing_by_airline(derived.flights(spark, sf, aircraft=False))
@@ -236,15 +250,12 @@ def agg_count_by_country_aircraft(spark, sf):
 
 @query
 def agg_count_regional(spark, sf):
-    zoned = enrich.zoned_airports(derived.airports(spark, sf), derived.zones(spark))
-    flights = enrich.with_airports(derived.flights(spark, sf, aircraft=False), zoned)
-    return counts.regional_by_airline(flights, derived.airlines(spark, sf))
+    return kpis.regional_counts(*_regional_tables(spark, sf))
 
 
 @query
 def agg_avg_distance(spark, sf):
-    means = counts.mean_distance_by_origin(_geography(spark, sf))
-    return _rounded(means, 3, "average_flight_distance")
+    return kpi4_avg_distance_by_continent(spark, sf)
 
 
 @query
@@ -281,7 +292,8 @@ def topk_longest_flight(spark, sf):
 
 @query
 def fn_great_circle_km(spark, sf):
-    joined = enrich.with_airports(derived.flights(spark, sf), derived.airports(spark, sf))
+    flights = derived.flights(spark, sf, aircraft=False)
+    joined = enrich.with_airports(flights, derived.airports(spark, sf))
     ends = [f"{c}_{r}" for r in enrich.ROLE_CODES for c in ("airportLat", "airportLong")]
     return enrich.with_distance(joined).select("flightID", *ends, _km())
 
@@ -302,12 +314,7 @@ def kpi1_airline_most_flights(spark, sf):
 
 @query
 def kpi2_regional_airline_by_continent(spark, sf):
-    return kpis.airline_with_most_regional_flights(
-        derived.flights(spark, sf, aircraft=False),
-        derived.airports(spark, sf),
-        derived.airlines(spark, sf),
-        derived.zones(spark),
-    )
+    return kpis.airline_with_most_regional_flights(*_regional_tables(spark, sf))
 
 
 @query

@@ -34,13 +34,20 @@ def airline_with_most_flights(flights: DataFrame, airlines: DataFrame) -> DataFr
     )
 
 
-def airline_with_most_regional_flights(
+def regional_counts(
     flights: DataFrame, airports: DataFrame, airlines: DataFrame, zones: DataFrame
 ) -> DataFrame:
-    """Per continent, the airline with the most flights that stay on it."""
+    """Flights that stay on one continent, per continent and airline."""
     zoned = zoned_airports(airports, zones)
     routes = with_airports(merge_routes(flights, zoned, "airlineCode"), zoned)
-    counts = regional_by_airline(routes, airlines)
+    return regional_by_airline(routes, airlines)
+
+
+def airline_with_most_regional_flights(
+    flights: DataFrame, airports: DataFrame, airlines: DataFrame, zones: DataFrame
+) -> DataFrame:
+    """Per continent, the airline with the most flights that stay on it."""
+    counts = regional_counts(flights, airports, airlines, zones)
     order = largest_first("regional_flight_count", "airlineCode", "airline_name")
     return top_n(counts, order, per=["originContinent"])
 
