@@ -113,3 +113,18 @@ def test_scratch_folders_are_new_and_shared(spark):
     assert a != b
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert shared is None or a.startswith(shared)
+
+
+@pytest.mark.parametrize("text", [None, "", "\n \n"], ids=["no file", "empty file", "blank lines"])
+def test_an_empty_feed_gives_an_empty_table(spark, tmp_path, text):
+    landing, store = tmp_path / "landing", str(tmp_path / "store")
+    for feed in TABLES:
+        (landing / feed).mkdir(parents=True)
+        if text is not None:
+            (landing / feed / "part.json").write_text(text)
+    rejects = jobs.extract(spark, str(landing), store, AT)
+    # Blank lines are no records of the line feeds, but no zone document either.
+    assert rejects == dict.fromkeys(TABLES, 0) | {"zones": 1 if text else 0}
+    for table, schema in TABLES.items():
+        back = read_snapshot(spark, store, table, AT)
+        assert back.columns == schema.names and back.count() == 0
