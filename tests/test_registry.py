@@ -15,7 +15,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql()) == set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):
