@@ -3,8 +3,8 @@
 Base rules count words, symbols, repeated lines and words in repeated five-word windows. The method
 compares two histograms of a document with those of its language, by Jensen-Shannon distance:
 kinds of characters, and the commonest words. Languages are measured over all documents that are
-long enough to be judged themselves; one without a word list here is measured with a list mixed
-from all of them. Documents below the minimum length are left to the base rules.
+long enough to be judged themselves and near to most of their language; a language without a word
+list here is one of a group that is measured with a list mixed from all of them. Documents below the minimum length are left to the base rules.
 
 Null texts count as empty: no words, which the base rules refuse. Repeated rows are judged alike.
 """
@@ -24,10 +24,12 @@ RUN = 5
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 
-# The method: shorter documents are not compared; further ones than this are refused.
+# The method: shorter documents are not compared; further ones than this are refused, by either
+# distance or by both together.
 COMPARED_WORDS = 50
-CHARACTER_LIMIT = 0.25
-WORD_LIMIT = 0.45
+CHARACTER_LIMIT = 0.3
+WORD_LIMIT = 0.42
+JOINT_LIMIT = 0.47
 
 # The commonest words of each language, by general frequency lists.
 COMMON_WORDS = {
@@ -149,9 +151,24 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, zero, lambda a, b: a + b)
 
 
-def references(measured: DataFrame) -> DataFrame:
-    """(language, kinds_of, common_of): the summed histograms of each language, six rows at most."""
-    long = measured.where(F.col("n_words") >= COMPARED_WORDS)
+def distance(a: Column, b: Column) -> Column:
+    """Jensen-Shannon distance of two histograms, 0 to 1; null if one of them is empty."""
+
+    def shares(v: Column) -> Column:
+        return let(F.nullif(_sum(v), F.lit(0)), lambda n: F.transform(v, lambda x: x / n))
+
+    def part(p: Column, q: Column) -> Column:
+        return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0)
+
+    def both(p: Column, q: Column) -> Column:
+        return part(p, q) + part(q, p)
+
+    total = F.aggregate(F.zip_with(shares(a), shares(b), both), F.lit(0.0), lambda x, y: x + y)
+    return F.sqrt(F.greatest(F.lit(0.0), total / 2))
+
+
+def _summed(long: DataFrame) -> DataFrame:
+    """(language, kinds_of, common_of): the summed histograms of each language."""
 
     def summed(column: str) -> DataFrame:
         return (
@@ -166,43 +183,58 @@ def references(measured: DataFrame) -> DataFrame:
     return summed("kinds").join(summed("common"), "language")
 
 
-def distance(a: Column, b: Column) -> Column:
-    """Jensen-Shannon distance of two histograms, 0 to 1; null if one of them is empty."""
+def compared(measured: DataFrame, references: DataFrame) -> DataFrame:
+    """Adds the distances of each document to its language."""
+    # One row for each listed language and one for all others.
+    joined = measured.join(F.broadcast(references), "language", "left")
+    return joined.withColumns(
+        {
+            "kinds_distance": distance(F.col("kinds"), F.col("kinds_of")),
+            "common_distance": distance(F.col("common"), F.col("common_of")),
+        }
+    ).drop("kinds_of", "common_of")
 
-    def shares(v: Column) -> Column:
-        return let(F.nullif(_sum(v), F.lit(0)), lambda n: F.transform(v, lambda x: x / n))
 
-    def part(p: Column, q: Column) -> Column:
-        return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0)
+def references(measured: DataFrame) -> DataFrame:
+    """(language, kinds_of, common_of), so that junk among the documents tells little.
 
-    def both(p: Column, q: Column) -> Column:
-        return part(p, q) + part(q, p)
+    Of the documents that are long enough and pass the base rules, those count that are no further
+    from the sum of all of these than half of their language is.
+    """
+    long = measured.where((F.col("n_words") >= COMPARED_WORDS) & ~base_failed())
+    near = compared(long, _summed(long))
+    half = near.groupBy("language").agg(
+        F.percentile_approx("kinds_distance", 0.5, 1000).alias("kinds_half"),
+        F.percentile_approx("common_distance", 0.5, 1000).alias("common_half"),
+    )
+    core = near.join(F.broadcast(half), "language").where(
+        (F.col("kinds_distance") <= F.col("kinds_half")) | (F.col("common_distance") <= F.col("common_half"))
+    )
+    return _summed(core)
 
-    total = F.aggregate(F.zip_with(shares(a), shares(b), both), F.lit(0.0), lambda x, y: x + y)
-    return F.sqrt(F.greatest(F.lit(0.0), total / 2))
+
+def base_failed() -> Column:
+    repeated = 100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
+    return (F.col("n_words") < LEAST_WORDS) | repeated
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """Counts, distances and verdict of every row of ``docs``."""
     measured = stored(measure(docs), "measured")
-    base = (F.col("n_words") < LEAST_WORDS) | (
-        100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
-    )
-    compared = F.col("n_words") >= COMPARED_WORDS
-    # One row for each listed language and one for all others.
-    joined = measured.join(F.broadcast(references(measured)), "language", "left")
-    kinds, common = distance(F.col("kinds"), F.col("kinds_of")), distance(F.col("common"), F.col("common_of"))
-    far = (F.col("kinds_distance") > CHARACTER_LIMIT) | (F.col("common_distance") > WORD_LIMIT)
-    return joined.select(
+    judged = compared(measured, stored(references(measured), "references"))
+    enough = F.col("n_words") >= COMPARED_WORDS
+    kinds, common = F.col("kinds_distance"), F.col("common_distance")
+    far = (kinds > CHARACTER_LIMIT) | (common > WORD_LIMIT) | (kinds + common > JOINT_LIMIT)
+    return judged.select(
         "doc_id",
         "n_words",
         "word_chars",
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        base.alias("base_failed"),
-        F.when(compared, kinds).alias("kinds_distance"),
-        F.when(compared, common).alias("common_distance"),
+        base_failed().alias("base_failed"),
+        F.when(enough, kinds).alias("kinds_distance"),
+        F.when(enough, common).alias("common_distance"),
     ).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
 
 
