@@ -164,7 +164,7 @@ def distance(a: Column, b: Column) -> Column:
         return part(p, q) + part(q, p)
 
     total = F.aggregate(F.zip_with(shares(a), shares(b), both), F.lit(0.0), lambda x, y: x + y)
-    return F.sqrt(F.greatest(F.lit(0.0), total / 2))
+    return let(total, lambda t: F.when(t <= 0, 0.0).otherwise(F.sqrt(t / 2)))
 
 
 def _summed(long: DataFrame) -> DataFrame:

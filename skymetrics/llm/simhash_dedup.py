@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType
 
 from skymetrics.llm.common import documents, free_name, stored
 from skymetrics.llm.components import components
@@ -59,7 +60,7 @@ def fingerprint_of(text: bytes, shingle: int = SHINGLE) -> int:
     return int(major.view(np.uint64)[0])
 
 
-@arrow_udf("bigint")
+@arrow_udf(LongType())
 def fingerprint(texts: pa.Array) -> pa.Array:
     """Fingerprint of each text, its 64 bits as a signed number."""
     found = [fingerprint_of((t.as_py() or "").encode()) for t in texts]
@@ -222,13 +223,17 @@ def deduplicate(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row of ``docs`` for each group, that of its smallest id, with all its columns."""
-    group = free_name(docs, "component_id")
+    """One row of ``docs`` for each group, that of its smallest id, with all its columns.
+
+    Rows that repeat an id are told apart by nothing, so any one of them stands for it.
+    """
     found = deduplicate(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    firsts = found.select(F.col("doc_id").alias(group)).distinct()
-    kept = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col(group)), "left_semi")
-    # Rows that repeat an id are told apart by nothing, so any one of them stands for it.
-    return kept.dropDuplicates(["doc_id"])
+    known = F.col("doc_id").isNotNull()
+    # Texts are dealt out once, by id, for the join and for the choice among repeated ids.
+    firsts = found.where(known).select("doc_id").distinct()
+    kept = docs.where(known).join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = found.where(~known).select(F.lit(1).alias("one")).limit(1)
+    return kept.unionByName(docs.where(~known).limit(1).join(nameless, F.lit(True), "left_semi"))
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
