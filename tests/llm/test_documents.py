@@ -1,0 +1,453 @@
+"""Operators on whole documents beside plain Python."""
+
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from skymetrics.llm import components, language_id, mixing, packing, pitman_yor_lm, quality_classifier, simhash_dedup, topk_search
+from tests.llm.helpers import found, prose, rows, table
+from tests.llm.test_words import WORD, lowered
+
+
+def fold(doc_id, modulus):
+    return None if doc_id is None else zlib.crc32(str(doc_id).encode()) % modulus
+
+
+# -- SimHash ---------------------------------------------------------------------------------
+
+
+def fingerprint_of(text):
+    words = WORD.findall(lowered(text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def roots_of(values, radius):
+    label = {v: v for v in values}
+
+    def root(v):
+        while label[v] != v:
+            v = label[v]
+        return v
+
+    ordered = sorted(set(values))
+    for i, a in enumerate(ordered):
+        for b in ordered[:i]:
+            if (a ^ b).bit_count() <= radius and root(a) != root(b):
+                label[max(root(a), root(b))] = min(root(a), root(b))
+    return {v: root(v) for v in ordered}
+
+
+def near_copies(n=12, words=300):
+    rng = random.Random(4)
+    text = prose(rng, "en", words).split(" ")
+    out = []
+    for i in range(n):
+        changed = list(text)
+        changed[rng.randrange(len(changed))] = f"changed{i}"
+        out.append((3000 + i, " ".join(changed), "en", "s", 1))
+    return out
+
+
+def test_groups_equal_brute_force(spark):
+    data = rows() + near_copies()
+    marks = [(d[0], fingerprint_of(d[1])) for d in data]
+    roots = roots_of([fp for _, fp in marks], 4)
+    members = defaultdict(list)
+    for doc_id, fp in marks:
+        members[roots[fp]].append(doc_id)
+    first = {r: min(i for i in ids if i is not None) if any(i is not None for i in ids) else None for r, ids in members.items()}
+    want = [(d, format(fp, "016x"), first[roots[fp]]) for d, fp in marks]
+    out = simhash_dedup.deduplicate(table(spark, data)).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+    assert found(out, *out.columns) == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
+    assert max(Counter(r[2] for r in want).values()) >= 6
+
+
+@pytest.mark.parametrize("limit", [10**6, 20], ids=["plain", "crowded"])
+def test_no_link_is_lost(spark, limit):
+    rng = random.Random(8)
+    values = [rng.getrandbits(64) for _ in range(150)]
+    for base in values[:15]:
+        for _ in range(12):
+            values.append(base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 5))))
+    # Very many that agree in most of their bits.
+    values += [values[0] & ~0xFFF | rng.getrandbits(12) for _ in range(150)]
+    roots = roots_of(values, 4)
+    signed = [v - (1 << 64) if v >> 63 else v for v in sorted(set(values))]
+    out = simhash_dedup.groups(spark.createDataFrame([(v,) for v in signed], "fp long"), 4, limit)
+    got = {r.fp % (1 << 64): r.root % (1 << 64) for r in out.collect()}
+    cluster = {v: got.get(v, v) for v in roots}
+    pairs = {(cluster[v], roots[v]) for v in roots}
+    assert len(pairs) == len(set(cluster.values())) == len(set(roots.values()))
+
+
+def test_one_of_each_group_stays(spark):
+    data = rows() + near_copies()
+    docs = table(spark, data)
+    kept = simhash_dedup.keep_first(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    groups = simhash_dedup.deduplicate(docs).select("component_id").distinct().count()
+    assert len(ids) == len(set(ids)) == groups
+
+
+@given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=40))
+@settings(max_examples=8, deadline=None)
+def test_components(spark, edges):
+    up = [(max(e), min(e)) for e in edges]
+    label = {n: n for e in up for n in e}
+    for _ in label:
+        for a, b in up:
+            label[a] = label[b] = min(label[a], label[b])
+    out = components.components(spark.createDataFrame(up, "a int, b int"))
+    assert {(r.a, r.b) for r in out.collect()} == {(a, b) for a, b in label.items() if a != b}
+
+
+# -- mixing ----------------------------------------------------------------------------------
+
+
+def shares(sizes):
+    names = sorted((n for n in sizes if n is not None)) + ([None] if None in sizes else [])
+    weight = {n: (3, 1, 2)[i % 3] for i, n in enumerate(names)}
+    left, open_, target = 1.5 * sum(sizes.values()), set(names), {}
+    while open_:
+        level = left / sum(weight[n] for n in open_)
+        full = {n for n in open_ if 2 * sizes[n] <= level * weight[n]}
+        if not full:
+            target |= {n: level * weight[n] for n in open_}
+            break
+        for n in full:
+            target[n] = 2.0 * sizes[n]
+            left -= target[n]
+        open_ -= full
+    return target
+
+
+def test_targets_and_takes(spark):
+    data = rows()
+    out = mixing.mix(mixing.sized(table(spark, data))).collect()
+    sizes = defaultdict(int)
+    of_source = defaultdict(set)
+    for doc_id, text, _, source, _ in data:
+        sizes[source] += len(WORD.findall(text or ""))
+        of_source[doc_id].add(source)
+    target = shares(sizes)
+    assert len(out) == len(data)
+    taken = defaultdict(int)
+    for r in out:
+        (source,) = of_source[r.doc_id]
+        assert r.source_size == sizes[source] and r.target == pytest.approx(target[source])
+        assert 0 <= r.taken <= 2 * r.size
+        taken[source] += r.taken
+        assert r.taken // r.size in (r.passes, r.passes + 1) if r.size else r.taken == 0
+    for source in sizes:
+        assert taken[source] == pytest.approx(target[source], abs=1)
+    again = mixing.mix(mixing.sized(table(spark, data).repartition(5))).collect()
+    assert sorted(map(str, again)) == sorted(map(str, out))
+
+
+def test_heavier_documents_come_first_more_often(spark, monkeypatch):
+    sized = spark.range(6000).selectExpr(
+        "id as doc_id", "if(id % 3 = 0, 'a', 'b') as source", "10L as size", "if(id % 2 = 0, 1.0, 0.25) as weight"
+    )
+    whole = mixing.mix(sized).collect()
+    monkeypatch.setattr(mixing, "STRETCH", 200)
+    assert sorted(map(str, mixing.mix(sized).collect())) == sorted(map(str, whole))
+    partial = [r for r in whole if r.target < 2 * r.source_size]
+    more = Counter((r.doc_id % 2, r.taken > r.passes * r.size) for r in partial)
+    assert more[0, True] / (more[0, True] + more[0, False]) > more[1, True] / (more[1, True] + more[1, False])
+
+
+@given(st.dictionaries(st.sampled_from(["a", "b", "ä", "Z", None, "c", "d"]), st.integers(0, 50), max_size=7))
+@settings(max_examples=10, deadline=None)
+def test_excess_is_shared_anew(spark, sizes):
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in mixing.targets(df).collect()}
+    want = shares(sizes)
+    assert set(got) == set(want)
+    for name in want:
+        assert got[name] == pytest.approx(want[name], abs=1e-9)
+
+
+# -- packing ---------------------------------------------------------------------------------
+
+
+def check_packing(pieces, sizes, sources, clusters, window, per_source):
+    """``pieces`` are (doc, piece, start, words, window, window_start)."""
+    by_doc, by_window = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_doc[p[0]].append(p)
+        by_window[p[4]].append(p)
+    for doc, size in sizes.items():
+        parts = sorted(by_doc[doc], key=lambda p: p[1])
+        assert sum(p[3] for p in parts) == size and all(p[3] <= window for p in parts)
+        assert [p[2] for p in parts] == [window * i for i in range(len(parts))]
+    for inside in by_window.values():
+        spans = sorted((p[5], p[5] + p[3]) for p in inside if p[3])
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])) and (not spans or spans[-1][1] <= window)
+        named = Counter(sources[p[0]] for p in inside if sources[p[0]] is not None)
+        assert not named or max(named.values()) <= per_source
+        shared = Counter(clusters[p[0]] for p in inside)
+        assert max(shared.values()) == 1
+
+
+def test_windows(spark):
+    data = [r for i, r in enumerate(rows()) if r[0] is not None and r[0] not in (5,)]
+    sized = packing.sized(table(spark, data))
+    facts = {r.doc_id: r for r in sized.collect()}
+    out = packing.pack(sized, 500, 2, 20).collect()
+    sizes, sources, clusters = ({d: getattr(r, c) for d, r in facts.items()} for c in ("size", "source", "cluster"))
+    check_packing([tuple(r) for r in out], sizes, sources, clusters, 500, 2)
+    assert packing.pack(packing.sized(table(spark, rows()))).select("doc_id").distinct().count() == len(rows()) - 1
+
+
+@given(st.lists(st.tuples(st.integers(0, 50), st.integers(0, 4), st.integers(0, 9)), max_size=60), st.integers(1, 3))
+@settings(max_examples=200, deadline=None)
+def test_best_fit_takes_the_tightest_window(pieces, per_source):
+    sizes = [p[0] for p in pieces]
+    sources = [1 << p[1] if p[1] else 0 for p in pieces]
+    clusters = [1 << p[2] if p[2] else 0 for p in pieces]
+    got = packing.best_fit(sizes, sources, clusters, 50, per_source)
+    windows = []
+    want = [None] * len(pieces)
+    for i in sorted(range(len(pieces)), key=lambda i: (-sizes[i], i)):
+        fits = [
+            (50 - sum(sizes[j] for j in w), n)
+            for n, w in enumerate(windows)
+            if 50 - sum(sizes[j] for j in w) >= max(sizes[i], 1)
+            and sum(bool(sources[j] & sources[i]) for j in w) < per_source
+            and not any(clusters[j] & clusters[i] for j in w)
+        ]
+        number = min(fits)[1] if fits else len(windows)
+        if not fits:
+            windows.append([])
+        want[i] = (number, sum(sizes[j] for j in windows[number]))
+        windows[number].append(i)
+    assert got == want
+
+
+# -- language --------------------------------------------------------------------------------
+
+
+def test_languages(spark):
+    data = rows(240)
+    out = {r.doc_id: r for r in language_id.predict(table(spark, data)).collect()}
+    learnt = {d[2] for d in data if d[2] and fold(d[0], 3) != 1 and d[1]}
+    right = total = 0
+    for doc_id, text, lang, *_ in data[:240]:
+        r = out[doc_id]
+        assert r.held_out == (fold(doc_id, 3) == 1) and 0 <= r.score <= 1 and r.lang_pred in learnt
+        total += r.held_out
+        right += r.held_out and r.lang_pred == lang
+    assert right / total > 0.95
+    assert {out[i].lang_pred for i in (240, 241, 242, 247)} == {"und"}
+    assert out[-7].lang_pred in learnt
+
+
+def test_unseen_words_fall_back_to_ngrams(spark):
+    data = [(i, "abcdef " * 3, "xx", "s", 1) for i in range(9)] + [(20 + i, "uvwxyz " * 3, "yy", "s", 1) for i in range(9)]
+    docs = table(spark, data + [(50, "bcde", None, "s", 1), (51, "yz", None, "s", 1), (52, "東", None, "s", 1)])
+    out = {r.doc_id: r.lang_pred for r in language_id.predict(docs).collect()}
+    assert out[50] == "xx" and out[51] == "yy" and out[52] in ("xx", "yy")
+    kept = language_id.keep(docs)
+    assert kept.columns == docs.columns and kept.where("doc_id = 50").count() == 1
+
+
+# -- quality ---------------------------------------------------------------------------------
+
+
+def labelled(n=120):
+    rng = random.Random(2)
+    data, labels = [], []
+    for i in range(n):
+        text = prose(rng, "en", rng.randint(30, 90))
+        if i % 4 == 0:
+            text = "First line of it.\n" + "\n".join(w.upper() + "!! " + w.upper() + "!!" for w in text.split()[:40])
+        data.append((i, text, "en", "s", 1))
+        labels.append((i, int(i % 4 != 0), 0))
+    return data, labels
+
+
+def test_quality_of_held_out_documents(spark):
+    data, labels = labelled()
+    marks = spark.createDataFrame(labels + [(None, 1, 0), (3, None, None), (4000, 1, 0), (1, 1, 0)], "doc_id long, quality int, toxic int")
+    docs = table(spark, data + [r for r in rows() if r[0] is None or r[0] >= 60])
+    out = quality_classifier.classify(docs, marks).collect()
+    assert len(out) == docs.count()
+    for r in out:
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) and r.held_out == (fold(r.doc_id, 5) == 0)
+    by_id = {r.doc_id: r for r in out}
+    assert all(by_id[i].predicted == q for i, q, _ in labels if fold(i, 5) == 0)
+    kept = quality_classifier.keep(docs, marks)
+    assert kept.columns == docs.columns and kept.count() == sum(r.predicted for r in out)
+
+
+def test_without_labels_of_both_kinds(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    one = spark.createDataFrame([(i, 1, 0) for i in range(60)], none.schema)
+    for labels in (none, one):
+        assert {r.score for r in quality_classifier.classify(table(spark, rows()), labels).collect()} == {0.5}
+
+
+def test_forward_backward_is_the_sum_over_paths():
+    rng = np.random.default_rng(1)
+    for length in (1, 2, 5):
+        good, moves = rng.normal(size=length), rng.normal(size=(2, 2))
+        total, ends = 0.0, np.zeros(length)
+        for path in range(1 << length):
+            states = [path >> i & 1 for i in range(length)]
+            weight = math.exp(sum(good[i] * s for i, s in enumerate(states)) + sum(moves[a, b] for a, b in zip(states, states[1:])))
+            total += weight
+            ends += weight * np.array(states)
+        chain = np.zeros(length, int)
+        # A second chain beside it must not matter.
+        got, _, _ = quality_classifier._forward_backward(np.append(good, [0.3, -2]), moves, np.append(chain, [1, 1]))
+        assert got[:length] == pytest.approx(ends / total)
+
+
+def test_features_do_not_depend_on_neighbouring_texts():
+    texts = pa.array(["a b\nc", None, "", "x" * 3000 + "\n\n", "ä!! | #\r\n1.", "a b\na b"])
+    whole, doc, _ = quality_classifier.line_features(texts)
+    for i in range(len(texts)):
+        alone, _, _ = quality_classifier.line_features(texts[i : i + 1])
+        assert np.allclose(alone, whole[doc == i])
+
+
+# -- language model --------------------------------------------------------------------------
+
+
+def test_base_score_equals_brute_force(spark):
+    data = rows()
+    out = pitman_yor_lm.score(table(spark, data)).collect()
+    assert len(out) == len(data)
+    tokens = [[*WORD.findall(lowered(d[1])), None] for d in data]
+    counts = Counter(t for d, ts in zip(data, tokens) if fold(d[0], 7) != 2 for t in ts)
+    n, v = sum(counts.values()), len(counts)
+    want = sorted(
+        (str(d[0]), fold(d[0], 7) == 2, len(ts), sum(counts[t] > 0 for t in ts), n, round(sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in ts), 6))
+        for d, ts in zip(data, tokens)
+    )
+    got = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in out)
+    assert got == want
+    assert all(math.isfinite(r.score) and r.score < 0 for r in out)
+
+
+def test_probabilities_sum_to_one(spark):
+    words = [(w.encode(), c) for w, c in (("", 9), ("a", 5), ("ab", 1), ("été", 2), ("new", 0), ("other", 0))]
+    df = spark.createDataFrame(words, "word binary, c long")
+    values = {bytes(r.word): 10**r.value for r in pitman_yor_lm.word_values(df, 17).collect()}
+    assert values[b"new"] == pytest.approx(values[b"other"])
+    known = sum(values[w] for w, c in words if c)
+    assert known + values[b"new"] == pytest.approx(1, abs=1e-5)
+
+
+def test_spellings_sum_to_one_after_each_context():
+    words = pa.array([b"then", b"the", b"", "été".encode(), bytes(range(0x80, 0xFF))], pa.binary())
+    cells, word = pitman_yor_lm.spelling(words)
+    assert np.bincount(word).tolist() == [5, 4, 1, 6, 128]
+    seen, at = np.unique(cells, return_inverse=True)
+    table_ = 10.0 ** pitman_yor_lm.train_speller(seen, np.bincount(at) * 7)
+    assert np.allclose(table_.sum(1), 1, atol=1e-4)
+    assert pitman_yor_lm._spelt(words, np.log10(table_))[1] > pitman_yor_lm._spelt(pa.array([b"qzx"], pa.binary()), np.log10(table_))[0]
+
+
+@given(st.lists(st.integers(0, 5000), min_size=1, max_size=50), st.floats(1e-9, 1), st.floats(0, 0.95))
+@settings(max_examples=100, deadline=None)
+def test_tables_are_between_one_and_customers(customers, base, discount):
+    customers = np.array(customers)
+    key = np.arange(len(customers), dtype=np.uint64)
+    tables = pitman_yor_lm.seat(customers, np.full(len(customers), base), 10, discount, 1.0, key)
+    assert ((tables <= customers) & (tables >= np.minimum(customers, 1))).all()
+
+
+def test_held_out_text_is_likelier_than_by_the_base(spark):
+    rng = random.Random(6)
+    docs = table(spark, [(i, prose(rng, "en", 200), "en", "s", 1) for i in range(80)])
+    held = [r for r in pitman_yor_lm.score(docs).collect() if r.held_out]
+    assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+# -- search ----------------------------------------------------------------------------------
+
+
+@given(st.integers(0, 10**6))
+@settings(max_examples=150, deadline=None)
+def test_wand_equals_scoring_everything(seed):
+    rng = np.random.default_rng(seed)
+    n, k = int(rng.integers(1, 400)), int(rng.integers(1, 12))
+    postings, total, has = [], np.zeros(n), np.zeros(n, bool)
+    for _ in range(int(rng.integers(1, 8))):
+        docs = np.flatnonzero(rng.random(n) < rng.choice([0.01, 0.1, 0.5, 1]))
+        if len(docs):
+            scores = rng.integers(1, 6, len(docs)) * rng.choice([0.5, 1, 3])
+            postings.append(topk_search.Postings(docs, scores))
+            total[docs] += scores
+            has[docs] = True
+    want = sorted(((total[i], i) for i in np.flatnonzero(has)), key=lambda f: (-f[0], f[1]))[:k]
+    assert topk_search.search(postings, k) == want
+
+
+def brute_search(data, is_query, k, n_words):
+    bags = [Counter(WORD.findall(lowered(d[1]))) for d in data]
+    holders = Counter(w for bag in bags for w in bag)
+    mean = sum(map(Counter.total, bags)) / len(bags)
+    weight = {w: math.log(1 + (len(bags) - h + 0.5) / (h + 0.5)) for w, h in holders.items()}
+    asked = defaultdict(Counter)
+    for d, bag in zip(data, bags):
+        if d[0] is not None and is_query(d[0]):
+            asked[d[0]] |= bag
+    out = []
+    for query, bag in asked.items():
+        words = sorted((w for w in bag if holders[w] > 1), key=lambda w: (-bag[w] * weight[w], w.encode()))[:n_words]
+        scores = []
+        for d, other in zip(data, bags):
+            long = 1.2 * (1 - 0.75 + 0.75 * other.total() / mean)
+            parts = [weight[w] * other[w] * 2.2 / (other[w] + long) for w in words if w in other]
+            if parts:
+                scores.append((-round(sum(parts), 6), d[0] is None, d[0] or 0, d[0]))
+        out += [(query, s[3], i + 1, -s[0]) for i, s in enumerate(sorted(scores)[:k])]
+    return out
+
+
+def test_search_equals_brute_force(spark):
+    data = [r for r in rows(150) if r[0] != 5]
+    out = topk_search.search_documents(table(spark, data), F.col("doc_id") % 10 == 0, 5, 8)
+    got = [(r.query_id, r.doc_id, r.rank, round(r.score, 6)) for r in out.collect()]
+    want = brute_search(data, lambda i: i % 10 == 0, 5, 8)
+    order = lambda r: (r[0], r[2])
+    assert [r[::2] + r[3:] for r in sorted(got, key=order)] == [r[::2] + r[3:] for r in sorted(want, key=order)]
+    # Equal after rounding may be in another order.
+    assert sum(a != b for a, b in zip(sorted(got, key=order), sorted(want, key=order))) < len(want) / 20
+
+
+# -- nothing to do ---------------------------------------------------------------------------
+
+
+def test_empty_tables(spark):
+    docs = table(spark, [])
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for out in (
+        mixing.mix(mixing.sized(docs)),
+        packing.pack(packing.sized(docs)),
+        language_id.predict(docs),
+        quality_classifier.classify(docs, labels),
+        simhash_dedup.deduplicate(docs),
+        simhash_dedup.keep_first(docs),
+        pitman_yor_lm.score(docs),
+        topk_search.search_documents(docs, F.lit(True)),
+    ):
+        assert out.count() == 0
