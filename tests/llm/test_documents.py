@@ -412,7 +412,7 @@ def brute_search(data, is_query, k, n_words):
             asked[d[0]] |= bag
     out = []
     for query, bag in asked.items():
-        words = sorted((w for w in bag if holders[w] > 1), key=lambda w: (-bag[w] * weight[w], w.encode()))[:n_words]
+        words = sorted((w for w in bag if holders[w] > 1), key=lambda w: (-(1 + math.log(bag[w])) * weight[w], w.encode()))[:n_words]
         scores = []
         for d, other in zip(data, bags):
             long = 1.2 * (1 - 0.75 + 0.75 * other.total() / mean)
