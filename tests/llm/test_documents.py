@@ -360,7 +360,7 @@ def test_spellings_sum_to_one_after_each_context():
     cells, word = pitman_yor_lm.spelling(words)
     assert np.bincount(word).tolist() == [5, 4, 1, 6, 128]
     seen, at = np.unique(cells, return_inverse=True)
-    table_ = 10.0 ** pitman_yor_lm.train_speller(seen, np.bincount(at) * 7)
+    table_ = 10.0 ** pitman_yor_lm.speller_table(pitman_yor_lm.train_speller(seen, np.bincount(at) * 7))
     assert np.allclose(table_.sum(1), 1, atol=1e-4)
     assert pitman_yor_lm._spelt(words, np.log10(table_))[1] > pitman_yor_lm._spelt(pa.array([b"qzx"], pa.binary()), np.log10(table_))[0]
 
@@ -399,6 +399,10 @@ def test_wand_equals_scoring_everything(seed):
             has[docs] = True
     want = sorted(((total[i], i) for i in np.flatnonzero(has)), key=lambda f: (-f[0], f[1]))[:k]
     assert topk_search.search(postings, k) == want
+    if want:
+        floor = want[int(rng.integers(len(want)))][0]
+        assert [f for f in topk_search.search(postings, k, floor) if f[0] > floor] == [f for f in want if f[0] > floor]
+        assert topk_search.search(postings, k, want[-1][0]) == want
 
 
 def brute_search(data, is_query, k, n_words):
@@ -423,7 +427,8 @@ def brute_search(data, is_query, k, n_words):
     return out
 
 
-def test_search_equals_brute_force(spark):
+def test_search_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(topk_search.blocks, "BLOCK_BYTES", 3000)
     data = [r for r in rows(150) if r[0] != 5]
     out = topk_search.search_documents(table(spark, data), F.col("doc_id") % 10 == 0, 5, 8)
     got = [(r.query_id, r.doc_id, r.rank, round(r.score, 6)) for r in out.collect()]
