@@ -1,6 +1,8 @@
 """What the text operators share: tables, folds, scratch tables, text buffers."""
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,17 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def kept(name: str, make: Callable[[], object]):
+    """What ``make`` gives, made once in a Python worker and kept while it lives.
+
+    A task unpickles its functions anew, so a cache within them would start empty each time.
+    """
+    held = sys.modules.setdefault("_skymetrics_kept", ModuleType("_skymetrics_kept"))
+    if not hasattr(held, name):
+        setattr(held, name, make())
+    return getattr(held, name)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string array, and where each text begins and ends (null: empty)."""
     texts = pc.fill_null(texts.cast(pa.large_binary()), b"")

@@ -17,7 +17,7 @@ that is run again replaces its files by the same ones. The folder must be one th
 reach; any file system that pyarrow knows will do.
 
 Null and empty texts are their end id only. A null id comes first. Documents with one id are in the
-order of their ids' checksum, then of the ids. An empty table gives no file.
+order of a hash of their texts. An empty table gives no file.
 """
 
 import os
@@ -30,19 +30,20 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf, spark_partition_id
+from pyspark.sql.functions import spark_partition_id
 from tokenizers import Tokenizer
 
-from skymetrics.llm.common import documents, stored
+from skymetrics.llm.common import documents, kept, stored
 from skymetrics.plans.session import scratch_folder
 
 MAGIC = b"TOKBITS\x01"
 BLOCK = 4096
 END_ID = 1
 
-# Ids of a file, and of an unpacked part of one; words whose ids a task remembers.
-FILE_IDS = 4 << 20
-_CACHE_LIMIT = 300_000
+# Ids of a file; words whose ids a worker remembers; texts that are encoded together.
+FILE_IDS = 2 << 20
+_CACHE_LIMIT = 600_000
+_TOGETHER = 500
 
 
 def bits_for(vocabulary: int) -> int:
@@ -118,53 +119,69 @@ class TokenFile:
 class Encoder(dict):
     """Ids of white-space separated words, as bytes of unsigned 32-bit numbers.
 
-    The tokenizer's rules treat white space as a border, so a text's ids are those of its words.
-    Words are encoded once and remembered until there are too many.
+    The tokenizer's rules treat white space as a border, and what follows a letter or digit and is
+    neither, nor an apostrophe, as another. They lower A-Z themselves. So a text's ids are those of
+    its words, and a word's are those of its stem and of the signs at its end. Words are encoded
+    once and remembered until there are too many.
     """
 
     def __init__(self, path: str):
         super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.bits = bits_for(self.tokenizer.get_vocab_size(with_added_tokens=True))
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        found = self[word] = np.array(ids, "<u4").tobytes()
+        # Specials are looked for before a text is split, in its own letters and in lowered ones.
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.specials = [t.encode() for t in special]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self[word] = self._ids(word.decode())
         return found
 
-    def encode(self, text: str) -> bytes:
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Encodes new words: stems of Latin letters together, as each ends where a token ends a word."""
+        cut = {}
+        for word in words:
+            stem = word.rstrip(_SIGNS)
+            last = stem[-1:]
+            if stem and len(stem) < len(word) and last.isalnum() and last < b"\x80":
+                cut[word] = stem
+        stems = (words | set(cut.values())) - cut.keys() - self.keys()
+        plain = [w for w in stems if (t := w.decode()).isalpha() and max(t) < "\u0250"]
+        for i in range(0, len(plain), 500):
+            part = plain[i : i + 500]
+            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            stops = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(stops) == len(part):
+                flat = ids.tobytes()
+                self.update(zip(part, (flat[a:b] for a, b in zip([0, *stops], stops))))
+        for word, stem in cut.items():
+            self[word] = self[stem] + self[word[len(stem) :]]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
         if len(self) > _CACHE_LIMIT:
             self.clear()
-        # Split where both ASCII and the tokenizer see white space; it splits further itself.
-        for gap in _GAPS:
-            text = text.replace(gap, " ")
-        return b"".join(map(self.__getitem__, text.split(" ")))
-
+        raw = [text.encode() for text in texts]
+        low = [r.lower() for r in raw]
+        special = [any(s in a or s in b for s in self.specials) for a, b in zip(raw, low)]
+        words = [[] if odd else b.split() for odd, b in zip(special, low)]
+        self._learn(set().union(*words) - self.keys())
+        ids = self.__getitem__
+        return [self._ids(t) if odd else b"".join(map(ids, w)) for t, odd, w in zip(texts, special, words)]
 
-# ASCII white space besides the blank.
-_GAPS = "\t\n\v\f\r"
 
+# Signs at the end of a word that its ids can be cut before.
+_SIGNS = b".,;:!?|#*$%&"
 
-def encoded(docs: DataFrame, path: str, end: int = END_ID) -> DataFrame:
-    """(doc_id, crc, ids): ids of each text and the end id, packed, and their checksum."""
-    cell = []
 
-    @arrow_udf("crc long, ids binary")
-    def encode(texts: pa.Array) -> pa.Array:
-        if not cell:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            cell.append(Encoder(path))
-        stop = np.array([end], "<u4").tobytes()
-        crcs, packed = [], []
-        for text in texts:
-            ids = cell[0].encode(text.as_py() or "") + stop
-            crcs.append(zlib.crc32(ids))
-            packed.append(pack(np.frombuffer(ids, "<u4"), cell[0].bits) + (len(ids) // 4).to_bytes(8, "little"))
-        return pa.StructArray.from_arrays(
-            [pa.array(crcs, pa.int64()), pa.array(packed, pa.binary())], ["crc", "ids"]
-        )
-
-    return docs.select("doc_id", encode(F.col("text")).alias("e")).select("doc_id", "e.crc", "e.ids")
+def encoder(path: str) -> Encoder:
+    return kept("encoder_" + "".join(c if c.isalnum() else "_" for c in path), lambda: Encoder(path))
 
 
 def _save(folder: str, name: str, data: bytes) -> None:
@@ -180,32 +197,38 @@ def write(docs: DataFrame, folder: str, path: str, end: int = END_ID) -> DataFra
     bits = bits_for(Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True))
     fs, base = pyarrow.fs.FileSystem.from_uri(folder)
     fs.create_dir(base, recursive=True)
+    stop = np.array([end], "<u4").tobytes()
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids, parts, held, number, part = [], [], 0, 0, None
+        known = encoder(path)
 
         def flush() -> pa.RecordBatch:
             name = f"part-{part:08d}-{number:06d}.tok"
             _save(folder, name, write_file(doc_ids, parts, bits))
             return pa.RecordBatch.from_pylist([{"part": part, "number": number, "name": name, "ids": held}])
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                part = row["part"]
-                count = int.from_bytes(row["ids"][-8:], "little")
-                if parts and held + count > FILE_IDS:
-                    yield flush()
-                    doc_ids, parts, held, number = [], [], 0, number + 1
-                doc_ids.append(row["doc_id"])
-                parts.append(unpack(row["ids"][:-8], bits, count))
-                held += count
+        for whole in batches:
+            for first in range(0, whole.num_rows, _TOGETHER):
+                batch = whole.slice(first, _TOGETHER)
+                part = batch["part"][0].as_py()
+                texts = known.encode([t or "" for t in batch["text"].to_pylist()])
+                for doc_id, packed in zip(batch["doc_id"].to_pylist(), texts):
+                    ids = np.frombuffer(packed + stop, "<u4")
+                    if parts and held + len(ids) > FILE_IDS:
+                        yield flush()
+                        doc_ids, parts, held, number = [], [], 0, number + 1
+                    doc_ids.append(doc_id)
+                    parts.append(ids)
+                    held += len(ids)
         if parts:
             yield flush()
 
-    # The checksum breaks up an id that very many rows share.
-    order = [F.col("doc_id").asc_nulls_first(), F.col("crc")]
-    ranged = encoded(docs, path, end).repartitionByRange(*order).sortWithinPartitions(*order, "ids")
-    rows = ranged.select("doc_id", "ids", spark_partition_id().cast("long").alias("part"))
+    # Texts are dealt by range and only then encoded, as Spark looks at the rows twice to find the
+    # ranges. The hash breaks up an id that very many rows share.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ranged = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = ranged.select("doc_id", "text", spark_partition_id().cast("long").alias("part"))
     return stored(rows.mapInArrow(save, "part long, number long, name string, ids long"), "token-files")
 
 
