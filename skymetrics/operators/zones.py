@@ -7,86 +7,76 @@ from skymetrics.functions import in_box
 
 _CORNERS = ("tl_y", "tl_x", "br_y", "br_x")
 
-# Zone lists up to this length ride along as one array; longer ones are joined by tile.
-INLINE_ZONES = 512
-
-# Tiles of the join, in degrees. All that lies past the poles or the date line falls in the outer
-# tiles, so a box covers at most 15 x 15 of them however large it is.
-_TILE_LAT, _TILE_LON = 15.0, 30.0
-_OUTER_TILE = 7.0
+# Tiles of level k are squares of 2**k degrees. A box is cut into tiles of the first level at which
+# it is at most _SPAN tiles high and wide, so it has few rows, and a tile holds boxes of its size
+# only. Coordinates past _EDGE fall in the outer tiles, so endless boxes have an end too.
+_LEVELS = 10
+_SPAN = 4
+_EDGE = 1024.0
 
 
 def assign_zone(
-    points: DataFrame,
-    zones: DataFrame,
-    lat: str,
-    lon: str,
-    name: str,
-    inline_zones: int = INLINE_ZONES,
+    points: DataFrame, zones: DataFrame, lat: str, lon: str, name: str
 ) -> DataFrame:
     """Adds column ``name``: the continent of each row's point, null outside every zone.
 
-    A short zone list, the usual case, is decided inside a projection: no join, no shuffle,
-    and the size estimate of ``points`` survives, so later joins can still broadcast it. The
-    length is checked first, by looking for one row past ``inline_zones``.
+    Distinct points meet the zones of their tiles, so many rows in one place cost one lookup.
+    Zones need a ``zone_seq``; those without one are left out. Of zones with the same one, the
+    first by continent counts.
     """
-    for corner in _CORNERS:
-        # Spark orders NaN above every number; as a corner it must match nothing.
-        zones = zones.filter(~F.isnan(corner))
-    if zones.offset(inline_zones).isEmpty():
-        return _assign_inline(points, zones, lat, lon, name)
-    return _assign_by_tile(points, zones, lat, lon, name)
-
-
-def _assign_inline(
-    points: DataFrame, zones: DataFrame, lat: str, lon: str, name: str
-) -> DataFrame:
-    box = F.struct("zone_seq", "continent", *_CORNERS)
-    boxes = zones.agg(F.sort_array(F.collect_list(box)).alias("boxes")).scalar()
-    hits = F.filter("_boxes", lambda b: in_box(F.col(lat), F.col(lon), b))
-    return (
-        points.withColumn("_boxes", boxes)
-        .withColumn(name, F.get(hits, F.lit(0)).getField("continent"))
-        .drop("_boxes")
-    )
-
-
-def _tile(value: Column, size: float) -> Column:
-    """Tile number, clamped; clamping keeps the order, so a box still covers its points."""
-    edge = F.lit(_OUTER_TILE)
-    return F.floor(F.least(edge, F.greatest(-edge, value / F.lit(size)))).cast("int")
-
-
-def _tile_range(low: str, high: str, size: float) -> Column:
-    return F.explode(F.sequence(_tile(F.col(low), size), _tile(F.col(high), size)))
-
-
-def _assign_by_tile(
-    points: DataFrame, zones: DataFrame, lat: str, lon: str, name: str
-) -> DataFrame:
     tiles = (
-        # An inverted box holds no point, and sequence() would count down over it.
-        zones.filter((F.col("br_y") <= F.col("tl_y")) & (F.col("tl_x") <= F.col("br_x")))
-        .withColumn("_tile_y", _tile_range("br_y", "tl_y", _TILE_LAT))
-        .withColumn("_tile_x", _tile_range("tl_x", "br_x", _TILE_LON))
+        _usable(zones)
+        .withColumn("_level", _level())
+        .withColumn("_tile_y", _tile_range("br_y", "tl_y"))
+        .withColumn("_tile_x", _tile_range("tl_x", "br_x"))
         # Size estimates do not see what explode() adds, so Spark might broadcast far more than it
         # takes this to be, and adaptive execution would not undo it.
         .hint("merge")
     )
-    # One row per distinct point, so that many rows in one place cost one lookup.
     spots = (
         points.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
         .dropna()  # null and NaN alike
         .distinct()
-        .withColumn("_tile_y", _tile(F.col("_lat"), _TILE_LAT))
-        .withColumn("_tile_x", _tile(F.col("_lon"), _TILE_LON))
+        .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1))))
+        .withColumn("_tile_y", _tile("_lat"))
+        .withColumn("_tile_x", _tile("_lon"))
     )
     corners = {corner: F.col(corner) for corner in _CORNERS}
     found = (
-        spots.join(tiles, ["_tile_y", "_tile_x"])
+        spots.join(tiles, ["_level", "_tile_y", "_tile_x"])
         .filter(in_box(F.col("_lat"), F.col("_lon"), corners))
         .groupBy("_lat", "_lon")
-        .agg(F.min_by("continent", "zone_seq").alias(name))
+        .agg(F.min(F.struct("zone_seq", "continent"))["continent"].alias(name))
     )
     same_spot = (F.col(lat) == F.col("_lat")) & (F.col(lon) == F.col("_lon"))
     return points.join(found, same_spot, "left").drop("_lat", "_lon")
+
+
+def _usable(zones: DataFrame) -> DataFrame:
+    """Zones that can hold a point. An inverted box holds none, and sequence() would count down
+    over it."""
+    for corner in _CORNERS:
+        # Spark orders NaN above every number; as a corner it must match nothing.
+        zones = zones.filter(~F.isnan(corner))
+    upright = (F.col("br_y") <= F.col("tl_y")) & (F.col("tl_x") <= F.col("br_x"))
+    return zones.filter(F.col("zone_seq").isNotNull() & upright)
+
+
+def _within_edges(value: Column) -> Column:
+    """Clamped; clamping keeps the order, so a box still covers its points."""
+    return F.least(F.lit(_EDGE), F.greatest(F.lit(-_EDGE), value))
+
+
+def _level() -> Column:
+    height = _within_edges(F.col("tl_y")) - _within_edges(F.col("br_y"))
+    width = _within_edges(F.col("br_x")) - _within_edges(F.col("tl_x"))
+    tiles = F.greatest(F.lit(1.0), height / _SPAN, width / _SPAN)
+    return F.least(F.lit(_LEVELS - 1), F.ceil(F.log2(tiles)).cast("int"))
+
+
+def _tile(column: str) -> Column:
+    return F.floor(_within_edges(F.col(column)) / F.pow(F.lit(2.0), F.col("_level"))).cast("int")
+
+
+def _tile_range(low: str, high: str) -> Column:
+    return F.explode(F.sequence(_tile(low), _tile(high)))
