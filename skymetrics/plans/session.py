@@ -1,6 +1,6 @@
 """Session settings the plans count on, and where they may put intermediate tables."""
 
-import tempfile
+import atexit
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -33,11 +33,30 @@ def build_session(
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder for an intermediate table, in the shared folder the cluster names.
 
-    Only a local session without that setting falls back to the machine's own folder.
+    It is removed when the program ends, if the session still runs then.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="skymetrics-")
-    return f"{base.rstrip('/')}/skymetrics/{name}-{uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    folder = f"{base.rstrip('/')}/skymetrics/{name}-{uuid4().hex}"
+    atexit.register(_remove_at_exit, spark, folder)
+    return folder
+
+
+def file_system(spark: SparkSession, folder: str):
+    """The file system of a folder, and its path there.
+
+    The one place that reaches into the JVM: Spark has no call to list or remove a folder.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    fs, path = file_system(spark, folder)
+    fs.delete(path, True)
+
+
+def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        remove_folder(spark, folder)

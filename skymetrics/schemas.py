@@ -43,7 +43,10 @@ ZONES = _struct(
     br_x=_real,
 )
 
+# The tables that land as feeds, and all that an hour of the store has.
 TABLES = {"flights": FLIGHTS, "airports": AIRPORTS, "airlines": AIRLINES, "zones": ZONES}
+ZONED_AIRPORTS = StructType([*AIRPORTS.fields, StructField("continent", _text)])
+STORED = {**TABLES, "zoned_airports": ZONED_AIRPORTS}
 
 # Field names of the raw feeds. Coordinates arrive as text.
 RAW_FLIGHT = _struct(
@@ -56,10 +59,7 @@ RAW_FLIGHT = _struct(
 )
 RAW_AIRPORT = _struct(iata=_text, name=_text, latitude=_text, longitude=_text, country=_text)
 RAW_AIRLINE = AIRLINES
-RAW_ZONES = (
-    "map<string, struct<tl_y: string, tl_x: string, br_y: string, br_x: string, "
-    "subzones: map<string, struct<tl_y: string, tl_x: string, br_y: string, br_x: string>>>>"
-)
+RAW_BOX = _struct(tl_y=_text, tl_x=_text, br_y=_text, br_x=_text)
 
 # Records that could not be typed, kept beside the tables.
 REJECTED = _struct(feed=_text, reason=_text, record=_text)

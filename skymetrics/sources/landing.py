@@ -2,20 +2,51 @@
 
 Flights, airports and airlines land as JSON lines, zones as one nested JSON document per file.
 Each ``*_from_*`` function returns the typed columns plus ``reject_reason`` and ``record``;
-``accepted`` and ``rejected`` split that. One bad record never fails a run, nor does it vanish.
+``accepted`` and ``rejected`` split that. One bad record never fails a run, nor does it vanish:
+every line that is not blank is in exactly one of the two.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from skymetrics.functions import parse_double
-from skymetrics.schemas import RAW_AIRLINE, RAW_AIRPORT, RAW_FLIGHT, RAW_ZONES
+from skymetrics.schemas import RAW_AIRLINE, RAW_AIRPORT, RAW_BOX, RAW_FLIGHT
 
-_RAW_BOX = "struct<tl_y: string, tl_x: string, br_y: string, br_x: string>"
-_BROKEN = "_broken"
+_BROKEN, _END = "_broken", "_end_of_record"
 _REJECT_COLUMNS = ("reject_reason", "record")
 MALFORMED = "malformed"
+_BLANK = r"^\s*$"
+
+
+def _parsed(text: Column, schema: DataType) -> Column:
+    """Struct (_record, _fine): a JSON text as ``schema``, and whether all of it is one such value.
+
+    ``from_json`` ignores what follows the first value. So the text is parsed as the only element
+    of an array in an object with a last key: text behind the value then breaks the array, adds
+    elements to it, or hides the last key. Only a text that closes the array itself and goes on
+    with another key would pass, so the object's keys are counted where a text might. A text that
+    names the last key is refused.
+    """
+    wrapped = F.concat(F.lit('{"_record":['), text, F.lit(f'],"{_END}":"0"}}'))
+    fields = [
+        StructField("_record", ArrayType(schema)),
+        StructField(_END, StringType()),
+        StructField(_BROKEN, StringType()),
+    ]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    parsed = F.from_json(wrapped, StructType(fields), options)
+    closes = text.rlike(r'\]\s*,\s*"')
+    two_keys = F.when(closes, F.size(F.json_object_keys(wrapped)) == 2).otherwise(True)
+    ended = ~F.contains(text, F.lit(_END)) & two_keys
+
+    def judged(p: Column) -> Column:
+        record = F.get(p["_record"], F.lit(0))
+        single = (F.size(p["_record"]) == 1) & record.isNotNull() & p[_END].isNotNull()
+        whole = F.coalesce(p[_BROKEN].isNull() & single & ended, F.lit(False))
+        return F.struct(record.alias("_record"), whole.alias("_fine"))
+
+    return F.get(F.transform(F.array(parsed), judged), F.lit(0))
 
 
 def parse_lines(lines: DataFrame, schema: StructType, line: str = "value") -> DataFrame:
@@ -25,14 +56,12 @@ def parse_lines(lines: DataFrame, schema: StructType, line: str = "value") -> Da
     JSON file scan would not guarantee as it parses the selected columns only. Generated rows,
     unlike a projected struct, are not parsed again by a filter on them.
     """
-    with_flag = StructType([*schema.fields, StructField(_BROKEN, StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
-    parsed = F.from_json(line, with_flag, options)
-    return (
-        lines.filter(F.trim(line) != "")
-        .select(F.col(line).alias("record"), F.inline(F.array(parsed)))
-        .withColumn("reject_reason", F.when(F.col(_BROKEN).isNotNull(), MALFORMED))
-        .drop(_BROKEN)
+    parsed = F.inline(F.array(_parsed(F.col(line), schema)))
+    rows = lines.filter(~F.col(line).rlike(_BLANK)).select(F.col(line).alias("record"), parsed)
+    return rows.select(
+        *[F.when(F.col("_fine"), F.col("_record")[f]).alias(f) for f in schema.names],
+        "record",
+        F.when(~F.col("_fine"), MALFORMED).alias("reject_reason"),
     )
 
 
@@ -86,9 +115,34 @@ def airlines_from_lines(lines: DataFrame) -> DataFrame:
     return parse_lines(lines, RAW_AIRLINE).select(*RAW_AIRLINE.names, *_REJECT_COLUMNS)
 
 
-def _zone(continent: Column, subzone: Column, box: Column) -> Column:
-    corners = (box[c].alias(c) for c in ("tl_y", "tl_x", "br_y", "br_x"))
-    return F.struct(continent.alias("continent"), subzone.alias("subzone"), *corners)
+def _zones_of(continent: Column, text: Column) -> Column:
+    """Rows (continent, subzone, box, record) of one entry of a zone document; no box: unreadable."""
+    no_name, no_box = F.lit(None).cast("string"), F.lit(None).cast(RAW_BOX)
+    details = StructType([*RAW_BOX.fields, StructField("subzones", MapType(StringType(), StringType()))])
+
+    def row(subzone: Column, box: Column, record: Column) -> Column:
+        return F.struct(
+            continent.alias("continent"),
+            subzone.alias("subzone"),
+            box.cast(RAW_BOX).alias("box"),
+            record.alias("record"),
+        )
+
+    def of_subzone(name: Column, box_text: Column) -> Column:
+        box = _parsed(box_text, RAW_BOX)
+        return row(name, F.when(box["_fine"], box["_record"]).otherwise(no_box), box_text)
+
+    def of_entry(entry: Column) -> Column:
+        whole = entry["_record"]
+        box = F.struct(*[whole[corner].alias(corner) for corner in RAW_BOX.names])
+        subzones = F.transform(
+            F.map_entries(whole["subzones"]), lambda sub: of_subzone(sub["key"], sub["value"])
+        )
+        return F.when(entry["_fine"], F.coalesce(subzones, F.array(row(no_name, box, text)))).otherwise(
+            F.array(row(no_name, no_box, text))
+        )
+
+    return F.get(F.transform(F.array(_parsed(text, details)), of_entry), F.lit(0))
 
 
 def zones_from_documents(
@@ -97,35 +151,41 @@ def zones_from_documents(
     """Zones of nested documents {continent: {corners, subzones?: {name: {corners}}}}.
 
     A continent with subzones gives one row for each and none for its own box; without the
-    field it gives its own box. ``zone_seq`` counts the rows of a document in its key order.
+    field it gives its own box. ``zone_seq`` counts the rows of a document in its key order. An
+    entry that cannot be read is rejected on its own, a document only if it is no object.
     ``keep`` passes columns of ``documents`` through, to tell several documents apart.
     """
-    nothing = F.lit(None)
-    no_name = nothing.cast("string")
-
-    def zones_of(entry: Column) -> Column:
-        continent, details = entry["key"], entry["value"]
-        subzones = F.map_entries(details["subzones"])
-        return F.coalesce(
-            F.transform(subzones, lambda sub: _zone(continent, sub["key"], sub["value"])),
-            F.array(_zone(continent, no_name, details)),
+    text = F.col(document)
+    entries = _parsed(text, MapType(StringType(), StringType()))
+    none = F.lit(None).cast("string")
+    unreadable = F.array(
+        F.struct(
+            none.alias("continent"),
+            none.alias("subzone"),
+            F.lit(None).cast(RAW_BOX).alias("box"),
+            text.alias("record"),
+        )
+    )
+
+    def rows_of(parsed: Column) -> Column:
+        found = F.transform(
+            F.map_entries(parsed["_record"]), lambda e: _zones_of(e["key"], e["value"])
         )
+        return F.when(parsed["_fine"], F.flatten(found)).otherwise(unreadable)
 
-    entries = F.map_entries(F.from_json(document, RAW_ZONES))
-    unreadable = F.array(_zone(no_name, no_name, nothing.cast(_RAW_BOX)))
-    zones = F.coalesce(F.flatten(F.transform(entries, zones_of)), unreadable)
-    rows = documents.select(
-        *keep, F.col(document).alias("_document"), F.posexplode(zones).alias("zone_seq", "_zone")
-    ).select(*keep, "_document", "zone_seq", "_zone.*")
-    reason = F.when(F.col("continent").isNull(), MALFORMED)
+    zones = F.get(F.transform(F.array(entries), rows_of), F.lit(0))
+    rows = (
+        documents.filter(~text.rlike(_BLANK))
+        .select(*keep, F.posexplode(zones).alias("zone_seq", "zone"))
+        .select(*keep, "zone_seq", "zone.*")
+    )
+    reason = F.when(F.col("box").isNull(), MALFORMED)
     typed = []
-    for corner in ("tl_y", "tl_x", "br_y", "br_x"):
-        number = parse_double(F.col(corner))
+    for corner in RAW_BOX.names:
+        number = parse_double(F.col("box")[corner])
         reason = F.coalesce(reason, F.when(number.isNull(), corner))
         typed.append(number.alias(corner))
-    record = F.when(F.col("continent").isNull(), F.col("_document")).otherwise(
-        F.to_json(F.struct("continent", "subzone", "tl_y", "tl_x", "br_y", "br_x"))
-    )
+    named = F.to_json(F.struct("continent", "subzone", "record"))
     return rows.select(
         *keep,
         "zone_seq",
@@ -133,10 +193,23 @@ def zones_from_documents(
         "subzone",
         *typed,
         reason.alias("reject_reason"),
-        record.alias("record"),
+        F.when(F.col("continent").isNull(), F.col("record")).otherwise(named).alias("record"),
     )
 
 
+def _zone_feed(spark: SparkSession, path: str) -> DataFrame:
+    """Zones of all documents of a feed in one sequence: by file name, then by place in it."""
+    texts = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    zones = zones_from_documents(texts, keep=("file",))
+    # One row for each file.
+    sizes = zones.groupBy("file").agg(F.count("*").alias("size"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("file", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("first"))
+    placed = zones.join(first, "file")
+    seq = (F.col("zone_seq") + F.col("first")).cast("int")
+    return placed.withColumn("zone_seq", seq).drop("file", "first")
+
+
 _LINE_FEEDS = {
     "flights": flights_from_lines,
     "airports": airports_from_lines,
@@ -147,5 +220,5 @@ _LINE_FEEDS = {
 def read_feed(spark: SparkSession, path: str, feed: str) -> DataFrame:
     """One landed feed, typed, with its rejects still in it."""
     if feed == "zones":
-        return zones_from_documents(spark.read.text(path, wholetext=True))
+        return _zone_feed(spark, path)
     return _LINE_FEEDS[feed](spark.read.text(path))

@@ -2,11 +2,11 @@
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from skymetrics.functions import HOUR_KEYS, hour_columns, hour_values
+from skymetrics.plans.session import file_system
 
 
 def snapshot_path(root: str, table: str, at: datetime) -> str:
@@ -53,17 +53,22 @@ def read_snapshot(
 ) -> DataFrame:
     """One hour of a table. An hour that was not written is an error, none stands in for it.
 
-    Only the hour's folder is listed, however many hours the table has. With ``schema`` no
-    file is opened to plan the read.
+    Nor is an hour that a write has not finished: an empty table has a data file too. Only the
+    hour's folder is listed, however many hours the table has. With ``schema`` no file is opened
+    to plan the read.
     """
     path = snapshot_path(root, table, at)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise FileNotFoundError(f"no snapshot of {table} for this hour: {path}") from error
-        raise
+    if not _has_data(*file_system(spark, path)):
+        raise FileNotFoundError(f"no snapshot of {table} for this hour: {path}")
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+
+
+def _names(fs, folder) -> list[str]:
+    return [status.getPath().getName() for status in fs.listStatus(folder)]
+
+
+def _has_data(fs, folder) -> bool:
+    return fs.exists(folder) and any(name[0] not in "_." for name in _names(fs, folder))
 
 
 def latest_hour(
@@ -74,14 +79,13 @@ def latest_hour(
     Walks down the newest year, month, day and hour, stepping back where nothing is found, so
     it lists a few folders and opens no file. A query for the largest key would open them all.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{table}")
-    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs, path = file_system(spark, f"{root.rstrip('/')}/{table}")
     bound = None if as_of is None else tuple(hour_values(as_of).values())
 
     def newest(folder, found: tuple[str, ...]) -> tuple[str, ...] | None:
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
         if len(found) == len(HOUR_KEYS):
-            return found if any(name[0] not in "_." for name in names) else None
+            return found if _has_data(fs, folder) else None
+        names = _names(fs, folder)
         prefix = HOUR_KEYS[len(found)] + "="
         values = [name.removeprefix(prefix) for name in names if name.startswith(prefix)]
         # Rows without a time have a folder of their own, which is no hour.
@@ -89,8 +93,7 @@ def latest_hour(
             hour = (*found, value)
             if bound is not None and hour > bound[: len(hour)]:
                 continue
-            child = spark._jvm.org.apache.hadoop.fs.Path(folder, prefix + value)
-            hit = newest(child, hour)
+            hit = newest(folder.suffix(f"/{prefix}{value}"), hour)
             if hit is not None:
                 return hit
         return None

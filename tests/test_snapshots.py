@@ -143,3 +143,14 @@ def test_a_hot_hour_is_written_by_several_tasks(spark, tmp_path, conf):
     write_snapshots(rows, str(tmp_path), "events", F.col("ts"))
     back = read_snapshot(spark, str(tmp_path), "events", start)
     assert back.count() == 133_333 and len(back.inputFiles()) > 1
+
+
+@pytest.mark.parametrize("schema", [None, FLIGHTS], ids=["inferred", "given"])
+def test_a_half_written_hour_is_an_error(spark, tmp_path, schema):
+    root = str(tmp_path)
+    hour = tmp_path / "flights" / "tech_year=2024" / "tech_month=03" / "tech_day=05" / "tech_hour=07"
+    (hour / "_temporary" / "0").mkdir(parents=True)
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, root, "flights", datetime(2024, 3, 5, 7), schema)
+    write_snapshot(spark.createDataFrame([], FLIGHTS), root, "flights", datetime(2024, 3, 5, 8))
+    assert read_snapshot(spark, root, "flights", datetime(2024, 3, 5, 8), schema).isEmpty()
