@@ -4,7 +4,7 @@ import argparse
 import logging
 from datetime import datetime
 
-from skymetrics.plans.jobs import QUESTIONS, extract, run_kpi
+from skymetrics.plans.jobs import QUESTIONS, extract, newest_hour, run_kpi
 from skymetrics.plans.session import build_session
 
 
@@ -16,6 +16,8 @@ def main(argv: list[str] | None = None) -> None:
     ask = jobs.add_parser("kpi", help="answer questions from stored tables")
     ask.add_argument("--results", required=True)
     ask.add_argument("--question", choices=sorted(QUESTIONS), action="append")
+    ask.add_argument("--latest", action="store_true", help="the newest hour that has the tables")
+    ask.add_argument("--as-of", type=datetime.fromisoformat, help="with --latest: none later")
     for job in (load, ask):
         job.add_argument("--store", required=True)
         job.add_argument("--at", type=datetime.fromisoformat, default=None)
@@ -29,7 +31,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "extract":
         extract(spark, args.landing, args.store, at)
         return
-    for question in args.question or QUESTIONS:
+    questions = args.question or list(QUESTIONS)
+    if args.latest and args.at is None:
+        # One hour for all questions of a run.
+        at = newest_hour(spark, args.store, questions, args.as_of)
+    for question in questions:
         run_kpi(spark, question, args.store, args.results, at)
 
 

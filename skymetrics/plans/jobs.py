@@ -1,17 +1,19 @@
 """The two batch jobs: bring the landed feeds into the store, answer the questions from it."""
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skymetrics.operators.enrich import zoned_airports
 from skymetrics.operators.filters import clean_flights
 from skymetrics.plans import kpis
-from skymetrics.schemas import RESULT_NAMES, TABLES
+from skymetrics.plans.session import remove_folder, scratch_folder
+from skymetrics.schemas import RESULT_NAMES, STORED, TABLES
 from skymetrics.sources.landing import accepted, read_feed, rejected
-from skymetrics.sources.snapshots import read_snapshot, write_snapshot
+from skymetrics.sources.snapshots import latest_hour, read_snapshot, write_snapshot
 
 log = logging.getLogger("skymetrics")
 
@@ -20,12 +22,9 @@ REJECTED = "rejected"
 # Each question with the tables it reads, in the order its function takes them.
 QUESTIONS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "kpi1": (kpis.airline_with_most_flights, ("flights", "airlines")),
-    "kpi2": (
-        kpis.airline_with_most_regional_flights,
-        ("flights", "airports", "airlines", "zones"),
-    ),
+    "kpi2": (kpis.airline_with_most_regional_flights, ("flights", "zoned_airports", "airlines")),
     "kpi3": (kpis.longest_ongoing_flight, ("flights", "airports")),
-    "kpi4": (kpis.average_flight_distance_by_continent, ("flights", "airports", "zones")),
+    "kpi4": (kpis.average_flight_distance_by_continent, ("flights", "zoned_airports")),
     "kpi5": (kpis.aircraft_with_most_active_flights, ("flights",)),
     "kpi6": (kpis.top_aircraft_by_country, ("flights", "airlines")),
 }
@@ -34,33 +33,63 @@ QUESTIONS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 def ingest(spark: SparkSession, landing: str, store: str, table: str, at: datetime) -> int:
     """Types, cleans and stores one feed for the hour ``at``; returns how many records it rejected.
 
-    Rejects are counted while the good rows are written. Only a feed that has any is read a
-    second time, to store them under ``rejected_<table>``.
+    The feed is parsed once: typed records are set down split into good and rejected, and both
+    sides are stored from there. The hour's ``rejected_<table>`` is replaced on every run, so
+    a repaired feed leaves none behind.
     """
     typed = read_feed(spark, f"{landing.rstrip('/')}/{table}", table)
-    tally = Observation(f"{table} records")
-    counted = typed.observe(
-        tally, F.count("*").alias("records"), F.count("reject_reason").alias("rejected")
-    )
-    good = accepted(counted)
+    staged = scratch_folder(spark, f"staged-{table}")
+    split = typed.withColumn("is_rejected", F.col("reject_reason").isNotNull())
+    split.write.partitionBy("is_rejected").parquet(staged)
+    both = spark.read.schema(split.schema).parquet(staged)
+    good = accepted(both.where(~F.col("is_rejected"))).drop("is_rejected")
+    bad = rejected(both.where("is_rejected"), table)
     path = write_snapshot(clean_flights(good) if table == "flights" else good, store, table, at)
-    read, bad = tally.get["records"], tally.get["rejected"]
-    log.info("%s: %d records read, %d rejected, stored in %s", table, read, bad, path)
-    if bad:
-        path = write_snapshot(rejected(typed, table), store, f"{REJECTED}_{table}", at)
-        log.warning("%s: rejected records stored in %s", table, path)
-    return bad
+    log.info("%s: stored in %s", table, path)
+    path = write_snapshot(bad, store, f"{REJECTED}_{table}", at)
+    n_bad = bad.count()
+    if n_bad:
+        log.warning("%s: %d rejected records stored in %s", table, n_bad, path)
+    remove_folder(spark, staged)
+    return n_bad
 
 
 def extract(spark: SparkSession, landing: str, store: str, at: datetime) -> dict[str, int]:
-    """Ingests all four feeds; returns the rejects of each."""
-    return {table: ingest(spark, landing, store, table, at) for table in TABLES}
-
-
-def answer(spark: SparkSession, question: str, store: str, at: datetime) -> DataFrame:
-    """The plan of one question over the tables of one hour."""
+    """Ingests all four feeds and stores the airports with their continents; returns the rejects
+    of each feed. A zone feed of which nothing can be read is an error, as no flight would have a
+    continent."""
+    rejects = {table: ingest(spark, landing, store, table, at) for table in TABLES}
+    zones = read_snapshot(spark, store, "zones", at, TABLES["zones"])
+    if rejects["zones"] and zones.isEmpty():
+        raise ValueError(f"no zone can be read: {rejects['zones']} rejected in {landing}/zones")
+    airports = read_snapshot(spark, store, "airports", at, TABLES["airports"])
+    write_snapshot(zoned_airports(airports, zones), store, "zoned_airports", at)
+    return rejects
+
+
+def newest_hour(
+    spark: SparkSession, store: str, questions: Iterable[str], as_of: datetime | None = None
+) -> datetime:
+    """Newest hour, not later than ``as_of``, that has all tables of the questions."""
+    tables = sorted({table for question in questions for table in QUESTIONS[question][1]})
+    while True:
+        hours = [latest_hour(spark, store, table, as_of) for table in tables]
+        if min(hours) == max(hours):
+            return hours[0]
+        as_of = min(hours)
+
+
+def answer(
+    spark: SparkSession,
+    question: str,
+    store: str,
+    at: datetime | None = None,
+    as_of: datetime | None = None,
+) -> DataFrame:
+    """The plan of one question over the tables of one hour: ``at``, else the newest as of a time."""
+    at = at or newest_hour(spark, store, [question], as_of)
     function, tables = QUESTIONS[question]
-    return function(*(read_snapshot(spark, store, t, at, TABLES[t]) for t in tables))
+    return function(*(read_snapshot(spark, store, t, at, STORED[t]) for t in tables))
 
 
 def run_kpi(spark: SparkSession, question: str, store: str, results: str, at: datetime) -> str:

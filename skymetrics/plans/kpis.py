@@ -1,4 +1,8 @@
-"""The six questions, each one lazy plan over the star schema."""
+"""The six questions, each one lazy plan over the star schema.
+
+Continents come with the airports: ``zoned`` are airports that ``enrich.zoned_airports`` has been
+over, which ``jobs.extract`` stores once for all questions.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,10 +14,9 @@ from skymetrics.operators.counts import (
     regional_by_airline,
     usage_by_country,
 )
-from skymetrics.operators.enrich import with_airports, with_distance, zoned_airports
+from skymetrics.operators.enrich import with_airports, with_distance
 from skymetrics.operators.filters import located, ongoing
 from skymetrics.operators.ranking import largest_first, top_n
-from skymetrics.operators.routes import merge_routes
 from skymetrics.schemas import FLIGHTS
 
 
@@ -34,20 +37,16 @@ def airline_with_most_flights(flights: DataFrame, airlines: DataFrame) -> DataFr
     )
 
 
-def regional_counts(
-    flights: DataFrame, airports: DataFrame, airlines: DataFrame, zones: DataFrame
-) -> DataFrame:
+def regional_counts(flights: DataFrame, zoned: DataFrame, airlines: DataFrame) -> DataFrame:
     """Flights that stay on one continent, per continent and airline."""
-    zoned = zoned_airports(airports, zones)
-    routes = with_airports(merge_routes(flights, zoned, "airlineCode"), zoned)
-    return regional_by_airline(routes, airlines)
+    return regional_by_airline(with_airports(flights, zoned), airlines)
 
 
 def airline_with_most_regional_flights(
-    flights: DataFrame, airports: DataFrame, airlines: DataFrame, zones: DataFrame
+    flights: DataFrame, zoned: DataFrame, airlines: DataFrame
 ) -> DataFrame:
     """Per continent, the airline with the most flights that stay on it."""
-    counts = regional_counts(flights, airports, airlines, zones)
+    counts = regional_counts(flights, zoned, airlines)
     order = largest_first("regional_flight_count", "airlineCode", "airline_name")
     return top_n(counts, order, per=["originContinent"])
 
@@ -60,13 +59,9 @@ def longest_ongoing_flight(flights: DataFrame, airports: DataFrame) -> DataFrame
     return top_n(routes, largest_first("flightDistance", *FLIGHTS.names, *coordinates))
 
 
-def average_flight_distance_by_continent(
-    flights: DataFrame, airports: DataFrame, zones: DataFrame
-) -> DataFrame:
+def average_flight_distance_by_continent(flights: DataFrame, zoned: DataFrame) -> DataFrame:
     """Mean distance of all flights, per continent of origin."""
-    zoned = zoned_airports(airports, zones)
-    routes = with_airports(merge_routes(flights, zoned), zoned)
-    return mean_distance_by_origin(with_distance(routes))
+    return mean_distance_by_origin(with_distance(with_airports(flights, zoned)))
 
 
 def aircraft_with_most_active_flights(flights: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 import os
+import shutil
 import sys
+import tempfile
 
 import pytest
 
@@ -12,10 +14,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    shared = tempfile.mkdtemp(prefix="tests-")
     session = build_session(
         "tests",
         "local[8]",
         {
+            "spark.checkpoint.dir": f"file://{shared}",
             "spark.sql.shuffle.partitions": "8",
             "spark.sql.session.timeZone": "UTC",
             "spark.driver.memory": "8g",
@@ -26,6 +30,7 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+    shutil.rmtree(shared, ignore_errors=True)
 
 
 @pytest.fixture

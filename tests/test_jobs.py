@@ -6,7 +6,7 @@ import pytest
 from skymetrics.__main__ import main
 from skymetrics.plans import jobs
 from skymetrics.plans.session import scratch_folder
-from skymetrics.schemas import RESULT_NAMES, TABLES
+from skymetrics.schemas import RESULT_NAMES, STORED, TABLES
 from skymetrics.sources.snapshots import read_snapshot
 from tests.helpers import tuples
 
@@ -62,12 +62,11 @@ def test_extract_then_answer(spark, landing):
     root, store, results = (str(landing / d) for d in ("landing", "store", "results"))
     rejects = jobs.extract(spark, root, store, AT)
     assert rejects == {"flights": 2, "airports": 1, "airlines": 0, "zones": 0}
-    sizes = {t: read_snapshot(spark, store, t, AT, TABLES[t]).count() for t in TABLES}
-    assert sizes == {"flights": 4, "airports": 3, "airlines": 2, "zones": 3}
+    sizes = {t: read_snapshot(spark, store, t, AT, STORED[t]).count() for t in STORED}
+    assert sizes == {"flights": 4, "airports": 3, "airlines": 2, "zones": 3, "zoned_airports": 3}
     bad = read_snapshot(spark, store, "rejected_flights", AT)
     assert [r[:2] for r in tuples(bad)] == [("flights", "malformed")] * 2
-    with pytest.raises(FileNotFoundError):
-        read_snapshot(spark, store, "rejected_airlines", AT)
+    assert read_snapshot(spark, store, "rejected_airlines", AT).isEmpty()
 
     paths = jobs.run_kpis(spark, store, results, AT)
     assert set(paths) == set(RESULT_NAMES)
@@ -111,8 +110,50 @@ def test_command_line(spark, landing):
 def test_scratch_folders_are_new_and_shared(spark):
     a, b = scratch_folder(spark, "x"), scratch_folder(spark, "x")
     assert a != b
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared is None or a.startswith(shared)
+    assert a.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_a_scratch_folder_needs_a_shared_one():
+    class Bare:
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(Bare, "x")
+
+
+def test_a_repaired_feed_leaves_no_rejects(spark, landing):
+    root, store = str(landing / "landing"), str(landing / "store")
+    feed = landing / "landing" / "flights" / "part.json"
+    assert jobs.ingest(spark, root, store, "flights", AT) == 2
+    assert read_snapshot(spark, store, "rejected_flights", AT).count() == 2
+    feed.write_text(flight(1, "AFR", "CDG", "ORY", 0))
+    assert jobs.ingest(spark, root, store, "flights", AT) == 0
+    assert read_snapshot(spark, store, "rejected_flights", AT).isEmpty()
+    assert read_snapshot(spark, store, "flights", AT).count() == 1
+
+
+def test_a_zone_feed_that_cannot_be_read_fails_the_extract(spark, landing):
+    (landing / "landing" / "zones" / "part.json").write_text('{"version": 4}')
+    with pytest.raises(ValueError, match="zone"):
+        jobs.extract(spark, str(landing / "landing"), str(landing / "store"), AT)
+
+
+def test_the_newest_hour_that_has_all_tables(spark, landing):
+    root, store, results = (str(landing / d) for d in ("landing", "store", "results"))
+    early = AT.replace(hour=5)
+    jobs.extract(spark, root, store, early)
+    jobs.extract(spark, root, store, AT)
+    later = AT.replace(hour=9)
+    jobs.ingest(spark, root, store, "flights", later)
+    assert jobs.newest_hour(spark, store, ["kpi5"]) == later
+    assert jobs.newest_hour(spark, store, jobs.QUESTIONS) == AT
+    assert jobs.newest_hour(spark, store, jobs.QUESTIONS, AT.replace(hour=6)) == early
+    assert tuples(jobs.answer(spark, "kpi1", store)) == [("AFR", "Air France", 2)]
+    with pytest.raises(FileNotFoundError):
+        jobs.answer(spark, "kpi1", store, as_of=AT.replace(hour=4))
+    argv = ["kpi", "--store", store, "--results", results, "--question", "kpi1", "--latest"]
+    main([*argv, "--as-of", AT.isoformat(), "--master", "local[8]"])
+    assert jobs.read_result(spark, "kpi1", results, AT).count() == 1
 
 
 @pytest.mark.parametrize("text", [None, "", "\n \n"], ids=["no file", "empty file", "blank lines"])
@@ -123,8 +164,7 @@ def test_an_empty_feed_gives_an_empty_table(spark, tmp_path, text):
         if text is not None:
             (landing / feed / "part.json").write_text(text)
     rejects = jobs.extract(spark, str(landing), store, AT)
-    # Blank lines are no records of the line feeds, but no zone document either.
-    assert rejects == dict.fromkeys(TABLES, 0) | {"zones": 1 if text else 0}
+    assert rejects == dict.fromkeys(TABLES, 0)
     for table, schema in TABLES.items():
         back = read_snapshot(spark, store, table, AT)
         assert back.columns == schema.names and back.count() == 0
