@@ -1,6 +1,7 @@
 """Runs registered queries beside their SQL: ``python -m checks.compare [sf_dir] [name ...]``."""
 
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -46,6 +47,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
         "compare",
         "local[8]",
         {
+            "spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='compare-')}",
             "spark.sql.shuffle.partitions": "8",
             "spark.sql.session.timeZone": "UTC",
             "spark.ui.enabled": "false",

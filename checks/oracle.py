@@ -1,7 +1,7 @@
 """The same answers in SQL, over the same Parquet tables; one statement per registered query."""
 
 from checks.registry import READ_HOUR
-from skymetrics.derived import ZONE_ROWS
+from checks.derived import ZONE_ROWS
 
 # Derived tables, each stated on its own so that a query names those it needs.
 _TABLES = {
@@ -99,9 +99,28 @@ _TABLES = {
             CAST(s_suppkey % 90 AS DOUBLE) AS tl_y, CAST((-s_suppkey) % 180 AS DOUBLE) AS tl_x
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
             JOIN region ON n_regionkey = r_regionkey""",
+    "zone_feed": """
+        SELECT CAST(first + odd AS INTEGER) AS zone_seq, r_name AS continent, n_name AS subzone,
+            tl_y, tl_x, -1e0 AS br_y, 1.5e0 AS br_x FROM zone_files
+        UNION ALL
+        SELECT CAST(first + odd + 1 AS INTEGER), r_name, s_name, tl_y, tl_x, -2e0, 2.5e0
+        FROM zone_files
+        UNION ALL
+        SELECT CAST(first + 2 - 2 * odd AS INTEGER), concat(r_name, ' sea'), NULL,
+            tl_y, tl_x, -3e0, 3.5e0 FROM zone_files""",
+    # Files are in the order of their names.
+    "zone_files": """
+        SELECT *, 3 * (row_number() OVER (ORDER BY concat(s_suppkey, '/')) - 1) AS first
+        FROM zone_rows""",
+    "unread": """
+        SELECT flightID FROM flights_raw
+        WHERE l_orderkey % 211 = 0 OR l_orderkey % 223 = 0""",
 }
 
 _NEEDS = {
+    "zone_files": ("zone_rows",),
+    "zone_feed": ("zone_files",),
+    "unread": ("flights_raw",),
     "flights": ("flights_raw",),
     "zone_of_point": ("airports", "zones"),
     "zoned": ("airports", "zone_of_point"),
@@ -147,9 +166,23 @@ _MEANS = """
 _TOP_AIRLINE = """
     SELECT airlineCode, Name AS airline_name, flight_count
     FROM busiest JOIN airlines ON airlineCode = ICAO"""
+_TOP_REGIONAL = """
+    SELECT originContinent, airlineCode, airline_name, regional_flight_count
+    FROM ranked_continents WHERE rank = 1"""
 _TOP_COUNTRIES = "SELECT * FROM ranked_countries WHERE rank <= 3"
 _TOP_AIRCRAFT = "ORDER BY active_flight_count DESC, aircraft NULLS FIRST LIMIT 1"
 
+_REJECTS = """
+        SELECT 'flights' AS feed, 'malformed' AS reason,
+            CASE WHEN l_orderkey % 211 = 0 THEN concat('{"id":"', flightID, '"')
+                ELSE concat('{"id":"', flightID, '","on_ground":"unknown"}') END AS record
+        FROM flights_raw WHERE l_orderkey % 211 = 0 OR l_orderkey % 223 = 0
+        UNION ALL
+        SELECT 'airports', 'latitude', concat('{"iata":"', airportID, '","name":"', airportName,
+            '","latitude":"bad","longitude":"', coalesce(CAST(airportLong AS VARCHAR), ''),
+            '","country":"', airportCountryName, '"}')
+        FROM airports WHERE c_custkey % 31 = 0"""
+
 ORACLE: dict[str, str] = {
     "src_flights_typed": _with(
         f"SELECT {_FLIGHT} FROM flights_raw WHERE l_orderkey % 211 <> 0 AND l_orderkey % 223 <> 0",
@@ -173,19 +206,22 @@ ORACLE: dict[str, str] = {
             tl_y, tl_x, -3e0, 3.5e0 FROM zone_rows""",
         "zone_rows",
     ),
-    "src_quarantine": _with(
-        """
-        SELECT 'flights' AS feed, 'malformed' AS reason,
-            CASE WHEN l_orderkey % 211 = 0 THEN concat('{"id":"', flightID, '"')
-                ELSE concat('{"id":"', flightID, '","on_ground":"unknown"}') END AS record
-        FROM flights_raw WHERE l_orderkey % 211 = 0 OR l_orderkey % 223 = 0
-        UNION ALL
-        SELECT 'airports', 'latitude', concat('{"iata":"', airportID, '","name":"', airportName,
-            '","latitude":"bad","longitude":"', coalesce(CAST(airportLong AS VARCHAR), ''),
-            '","country":"', airportCountryName, '"}')
-        FROM airports WHERE c_custkey % 31 = 0""",
-        "flights_raw",
+    "src_zones_feed": _with("SELECT * FROM zone_feed", "zone_feed"),
+    "src_quarantine": _with(_REJECTS, "flights_raw", "airports"),
+    "ingest_flights": _with(
+        "SELECT * FROM flights WHERE flightID NOT IN (SELECT flightID FROM unread)",
+        "flights",
+        "unread",
+    ),
+    "ingest_rejects": _with(_REJECTS, "flights_raw", "airports"),
+    "ingest_zoned_airports": _with(
+        """SELECT airportID, airportLat, airportLong,
+            (SELECT arg_min(z.continent, z.zone_seq) FROM zone_feed AS z
+                WHERE airportLat BETWEEN br_y AND tl_y AND airportLong BETWEEN tl_x AND br_x)
+                AS continent
+        FROM airports WHERE c_custkey % 31 <> 0""",
         "airports",
+        "zone_feed",
     ),
     "snapshot_write": _with("SELECT * FROM flights", "flights"),
     "snapshot_read_hour": (
@@ -195,6 +231,13 @@ ORACLE: dict[str, str] = {
         SELECT * FROM events
         WHERE date_trunc('hour', ts) = (SELECT max(date_trunc('hour', ts)) FROM events)""",
     "results_read": _with(_TOP_COUNTRIES, "ranked_countries"),
+    "results_read_kpi1": _with(_TOP_AIRLINE, "busiest", "airlines"),
+    "results_read_kpi2": _with(_TOP_REGIONAL, "ranked_continents"),
+    "results_read_kpi3": _with(
+        f"SELECT {_FLIGHT}, {_ORIGIN}, {_DESTINATION}, {_KM} {_LONGEST}", "geo"
+    ),
+    "results_read_kpi4": _with(_MEANS, "geo"),
+    "results_read_kpi5": _with(f"SELECT * FROM by_aircraft {_TOP_AIRCRAFT}", "by_aircraft"),
     "clean_flights": _with("SELECT * FROM flights", "flights"),
     "filter_ongoing": _with("SELECT * FROM flights WHERE flightStatus = '0'", "flights"),
     "filter_known_continent": _with(
@@ -275,11 +318,7 @@ ORACLE: dict[str, str] = {
         SELECT event_id, strftime(ts, '%Y') AS tech_year, strftime(ts, '%m') AS tech_month,
             strftime(ts, '%d') AS tech_day, strftime(ts, '%H') AS tech_hour FROM events""",
     "kpi1_airline_most_flights": _with(_TOP_AIRLINE, "busiest", "airlines"),
-    "kpi2_regional_airline_by_continent": _with(
-        """SELECT originContinent, airlineCode, airline_name, regional_flight_count
-        FROM ranked_continents WHERE rank = 1""",
-        "ranked_continents",
-    ),
+    "kpi2_regional_airline_by_continent": _with(_TOP_REGIONAL, "ranked_continents"),
     "kpi3_longest_ongoing_flight": _with(
         f"SELECT {_FLIGHT}, {_ORIGIN}, {_DESTINATION}, {_KM} {_LONGEST}", "geo"
     ),

@@ -6,18 +6,19 @@ two engines' trigonometry differs in the last bits.
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymetrics import derived
+from checks import derived
 from skymetrics.functions import hour_columns
 from skymetrics.operators import counts, enrich, filters
 from skymetrics.operators.ranking import largest_first, top_n
 from skymetrics.plans import kpis
-from skymetrics.plans.jobs import read_result, run_kpi
+from skymetrics.plans.jobs import QUESTIONS, REJECTED, extract, read_result, run_kpi
 from skymetrics.plans.session import scratch_folder
-from skymetrics.schemas import FLIGHTS
+from skymetrics.schemas import FLIGHTS, TABLES
 from skymetrics.sources import landing
 from skymetrics.sources.snapshots import (
     read_latest,
@@ -43,8 +44,8 @@ def _km(digits: int = 6, column: str = "flightDistance") -> Column:
     return F.round(column, digits).alias(column)
 
 
-def _zoned(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.zoned_airports(derived.airports(spark, sf), derived.zones(spark))
+def _zoned(spark: SparkSession, sf: str, country: bool = False) -> DataFrame:
+    return enrich.zoned_airports(derived.airports(spark, sf, country), derived.zones(spark))
 
 
 def _rounded(df: DataFrame, digits: int = 6, column: str = "flightDistance") -> DataFrame:
@@ -87,6 +88,14 @@ def src_zones_flattened(spark, sf):
     return landing.accepted(landing.zones_from_documents(documents, keep=("s_suppkey",)))
 
 
+@query
+def src_zones_feed(spark, sf):
+    """Zones through the file reader: one file for each document."""
+    folder = scratch_folder(spark, "zones")
+    derived.zone_documents(spark, sf).write.partitionBy("s_suppkey").text(folder)
+    return landing.accepted(landing.read_feed(spark, folder, "zones"))
+
+
 @query
 def src_quarantine(spark, sf):
     flights = _landed(spark, derived.flight_lines(spark, sf), "flights")
@@ -94,6 +103,42 @@ def src_quarantine(spark, sf):
     return landing.rejected(flights, "flights").unionByName(landing.rejected(airports, "airports"))
 
 
+def _extracted(spark: SparkSession, sf: str) -> str:
+    """A store that ``extract`` has filled from the four landed feeds."""
+    root, store = scratch_folder(spark, "landing"), scratch_folder(spark, "store")
+    feeds = {
+        "flights": derived.flight_lines,
+        "airports": derived.airport_lines,
+        "airlines": derived.airline_lines,
+        "zones": derived.zone_documents,
+    }
+    for feed, lines in feeds.items():
+        rows = lines(spark, sf)
+        writer = rows.write.partitionBy("s_suppkey") if feed == "zones" else rows.write
+        writer.text(f"{root}/{feed}")
+    extract(spark, root, store, RUN_HOUR)
+    return store
+
+
+@query
+def ingest_flights(spark, sf):
+    return read_snapshot(spark, _extracted(spark, sf), "flights", RUN_HOUR, FLIGHTS)
+
+
+@query
+def ingest_rejects(spark, sf):
+    store = _extracted(spark, sf)
+    tables = [read_snapshot(spark, store, f"{REJECTED}_{t}", RUN_HOUR) for t in TABLES]
+    return reduce(DataFrame.unionByName, tables)
+
+
+@query
+def ingest_zoned_airports(spark, sf):
+    store = _extracted(spark, sf)
+    zoned = read_snapshot(spark, store, "zoned_airports", RUN_HOUR)
+    return zoned.select("airportID", "airportLat", "airportLong", "continent")
+
+
 @query
 def snapshot_write(spark, sf):
     store = scratch_folder(spark, "store")
@@ -117,13 +162,49 @@ def snapshot_read_latest(spark, sf):
     return read_latest(spark, _event_store(spark, sf), "events")
 
 
+def _read_back(spark: SparkSession, sf: str, question: str) -> DataFrame:
+    """A question answered from a store, stored itself, and read back."""
+    store, results = scratch_folder(spark, "store"), scratch_folder(spark, "results")
+    tables = {
+        "flights": derived.flights,
+        "airports": partial(derived.airports, country=True),
+        "airlines": partial(derived.airlines, country=True),
+        "zoned_airports": partial(_zoned, country=True),
+    }
+    for name in QUESTIONS[question][1]:
+        write_snapshot(tables[name](spark, sf), store, name, RUN_HOUR)
+    run_kpi(spark, question, store, results, RUN_HOUR)
+    return read_result(spark, question, results, RUN_HOUR)
+
+
 @query
 def results_read(spark, sf):
-    store, results = scratch_folder(spark, "store"), scratch_folder(spark, "results")
-    write_snapshot(derived.flights(spark, sf), store, "flights", RUN_HOUR)
-    write_snapshot(derived.airlines(spark, sf, country=True), store, "airlines", RUN_HOUR)
-    run_kpi(spark, "kpi6", store, results, RUN_HOUR)
-    return read_result(spark, "kpi6", results, RUN_HOUR)
+    return _read_back(spark, sf, "kpi6")
+
+
+@query
+def results_read_kpi1(spark, sf):
+    return _read_back(spark, sf, "kpi1")
+
+
+@query
+def results_read_kpi2(spark, sf):
+    return _read_back(spark, sf, "kpi2")
+
+
+@query
+def results_read_kpi3(spark, sf):
+    return _rounded(_read_back(spark, sf, "kpi3"))
+
+
+@query
+def results_read_kpi4(spark, sf):
+    return _rounded(_read_back(spark, sf, "kpi4"), 3, "average_flight_distance")
+
+
+@query
+def results_read_kpi5(spark, sf):
+    return _read_back(spark, sf, "kpi5")
 
 
 # -- filters and projections ---------------------------------------------------------------
@@ -205,7 +286,9 @@ def join_airline_country(spark, sf):
 
 @query
 def join_top_airline_inner(spark, sf):
-    return kpi1_airline_most_flights(spark, sf)
+    names = derived.airlines(spark, sf).select("ICAO", F.col("Name").alias("airline_name"))
+    top = kpis.busiest_airline(derived.flights(spark, sf, aircraft=False))
+    return top.join(names, top.airlineCode == names.ICAO).drop("ICAO")
 
 
 @query
@@ -226,9 +309,8 @@ def zone_of_flight(spark, sf):
 def _regional_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, ...]:
     return (
         derived.flights(spark, sf, aircraft=False),
-        derived.airports(spark, sf),
+        _zoned(spark, sf),
         derived.airlines(spark, sf),
-        derived.zones(spark),
     )
 
 
@@ -255,7 +337,9 @@ def agg_count_regional(spark, sf):
 
 @query
 def agg_avg_distance(spark, sf):
-    return kpi4_avg_distance_by_continent(spark, sf)
+    located = enrich.with_airports(derived.flights(spark, sf, aircraft=False), _zoned(spark, sf))
+    means = counts.mean_distance_by_origin(enrich.with_distance(located))
+    return _rounded(means, 3, "average_flight_distance")
 
 
 @query
@@ -326,9 +410,7 @@ def kpi3_longest_ongoing_flight(spark, sf):
 @query
 def kpi4_avg_distance_by_continent(spark, sf):
     means = kpis.average_flight_distance_by_continent(
-        derived.flights(spark, sf, aircraft=False),
-        derived.airports(spark, sf),
-        derived.zones(spark),
+        derived.flights(spark, sf, aircraft=False), _zoned(spark, sf)
     )
     return _rounded(means, 3, "average_flight_distance")
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from skymetrics.operators.enrich import zoned_airports
 from skymetrics.plans import kpis
 from skymetrics.schemas import FLIGHTS
 from tests.helpers import BOXES, airlines, airports, arc_km, first_zone, flights, tuples, zones
@@ -32,7 +33,7 @@ class Star:
         self.df = flights(spark, *self.rows)
         self.df_airports = airports(spark, *self.airports)
         self.df_airlines = airlines(spark, *LINES)
-        self.df_zones = zones(spark)
+        self.df_zoned = zoned_airports(self.df_airports, zones(spark))
 
     def ends(self, code):
         return [a for a in self.airports if a[0] == code] or [(None, None, None)]
@@ -89,7 +90,7 @@ def test_airline_with_most_regional_flights(star, conf, threshold):
     for key in sorted(n, key=lambda k: (-n[k], k[1], nulls_first(k[2]))):
         best.setdefault(key[0], (*key, n[key]))
     got = kpis.airline_with_most_regional_flights(
-        star.df, star.df_airports, star.df_airlines, star.df_zones
+        star.df, star.df_zoned, star.df_airlines
     )
     assert got.columns == [
         "originContinent",
@@ -123,7 +124,7 @@ def test_average_flight_distance_by_continent(star, conf, threshold):
         continent = first_zone(*o[1:], BOXES)
         if continent and km is not None:
             lengths[continent].append(km)
-    got = kpis.average_flight_distance_by_continent(star.df, star.df_airports, star.df_zones)
+    got = kpis.average_flight_distance_by_continent(star.df, star.df_zoned)
     assert got.columns == ["originContinent", "average_flight_distance"]
     want = {c: sum(v) / len(v) for c, v in lengths.items()}
     assert dict(tuples(got)) == pytest.approx(want, abs=1e-3) and len(want) > 1
@@ -158,10 +159,10 @@ def test_top_aircraft_by_country(star):
 def test_nothing_matches_anywhere(spark):
     df = flights(spark, ("1", "a", "L0", "P", "P", "0"))
     nowhere = airports(spark, ("P", None, None))
-    lines, boxes = airlines(spark, *LINES), zones(spark)
+    lines, zoned = airlines(spark, *LINES), zoned_airports(nowhere, zones(spark))
     assert kpis.longest_ongoing_flight(df, nowhere).collect() == []
-    assert kpis.average_flight_distance_by_continent(df, nowhere, boxes).collect() == []
-    assert kpis.airline_with_most_regional_flights(df, nowhere, lines, boxes).collect() == []
+    assert kpis.average_flight_distance_by_continent(df, zoned).collect() == []
+    assert kpis.airline_with_most_regional_flights(df, zoned, lines).collect() == []
     none = df.filter("false")
     assert kpis.airline_with_most_flights(none, lines).collect() == []
     assert kpis.aircraft_with_most_active_flights(none).collect() == []

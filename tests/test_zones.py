@@ -1,59 +1,52 @@
 import random
+import re
 
 import pytest
 
 from skymetrics.operators.zones import assign_zone
 from tests.helpers import AFRICA, BOXES, EUROPE, OVERLAP, first_zone, tuples, zones
 
-# Both ways to decide a zone: all of them inline, and by tile.
-WAYS = pytest.mark.parametrize("inline", [1000, 0], ids=["inline", "tiles"])
 
-
-def assigned(spark, points, boxes, inline):
+def assigned(spark, points, boxes):
     df = spark.createDataFrame(
         [(i, *p) for i, p in enumerate(points)], "i int, lat double, lon double"
     )
-    out = assign_zone(df, zones(spark, boxes), "lat", "lon", "zone", inline_zones=inline)
+    out = assign_zone(df, zones(spark, boxes), "lat", "lon", "zone")
     assert out.columns == ["i", "lat", "lon", "zone"]
     rows = sorted(out.select("i", "zone").collect())
     assert [r.i for r in rows] == list(range(len(points)))
     return [r.zone for r in rows]
 
 
-@WAYS
-def test_edges_and_corners_belong_to_the_box(spark, inline):
+def test_edges_and_corners_belong_to_the_box(spark):
     _, name, _, top, left, bottom, right = AFRICA
     inside = [(top, 0.0), (bottom, 0.0), (0.0, left), (0.0, right), (top, left), (bottom, right)]
     outside = [(top + 1e-9, 0.0), (bottom - 1e-9, 0.0), (0.0, left - 1e-9), (0.0, right + 1e-9)]
-    got = assigned(spark, inside + outside, [AFRICA], inline)
+    got = assigned(spark, inside + outside, [AFRICA])
     assert got == [name] * len(inside) + [None] * len(outside)
 
 
-@WAYS
-def test_first_zone_wins_in_sequence_not_row_order(spark, inline):
+def test_first_zone_wins_in_sequence_not_row_order(spark):
     point = [(65.0, 20.0)]
-    assert assigned(spark, point, [EUROPE, OVERLAP], inline) == ["europe"]
-    assert assigned(spark, point, [OVERLAP, EUROPE], inline) == ["europe"]
+    assert assigned(spark, point, [EUROPE, OVERLAP]) == ["europe"]
+    assert assigned(spark, point, [OVERLAP, EUROPE]) == ["europe"]
     swapped = [(9, *EUROPE[1:]), OVERLAP]
-    assert assigned(spark, point, swapped, inline) == ["arctic"]
+    assert assigned(spark, point, swapped) == ["arctic"]
 
 
-@WAYS
-def test_date_line_box_holds_nothing(spark, inline):
+def test_date_line_box_holds_nothing(spark):
     points = [(-10.0, 170.0), (-10.0, -175.0), (-10.0, 110.0), (0.0, -170.0)]
-    assert assigned(spark, points, BOXES, inline) == [None] * 4
+    assert assigned(spark, points, BOXES) == [None] * 4
 
 
-@WAYS
-def test_missing_and_odd_coordinates(spark, inline):
+def test_missing_and_odd_coordinates(spark):
     nan, inf = float("nan"), float("inf")
     points = [(None, 0.0), (0.0, None), (None, None), (nan, 0.0), (0.0, nan), (inf, 0.0),
               (0.0, -inf), (-0.0, -0.0), (0.0, 0.0)]
-    assert assigned(spark, points, BOXES, inline) == [None] * 7 + ["africa"] * 2
+    assert assigned(spark, points, BOXES) == [None] * 7 + ["africa"] * 2
 
 
-@WAYS
-def test_boxes_without_a_usable_corner_match_nothing(spark, inline):
+def test_boxes_without_a_usable_corner_match_nothing(spark):
     nan = float("nan")
     boxes = [
         (0, "nan top", None, nan, -10.0, -10.0, 10.0),
@@ -62,17 +55,15 @@ def test_boxes_without_a_usable_corner_match_nothing(spark, inline):
         (3, "upside down", None, -10.0, -10.0, 10.0, 10.0),
         (4, "whole", None, 90.0, -180.0, -90.0, 180.0),
     ]
-    assert assigned(spark, [(0.0, 0.0)], boxes, inline) == ["whole"]
+    assert assigned(spark, [(0.0, 0.0)], boxes) == ["whole"]
 
 
-@WAYS
-def test_no_zones_at_all(spark, inline):
-    assert assigned(spark, [(0.0, 0.0), (None, 1.0)], [], inline) == [None, None]
+def test_no_zones_at_all(spark):
+    assert assigned(spark, [(0.0, 0.0), (None, 1.0)], []) == [None, None]
 
 
-@WAYS
 @pytest.mark.parametrize("seed", [1, 2])
-def test_random_boxes_agree_with_brute_force(spark, inline, seed):
+def test_random_boxes_agree_with_brute_force(spark, seed):
     rng = random.Random(seed)
 
     def corner(limit):
@@ -87,15 +78,48 @@ def test_random_boxes_agree_with_brute_force(spark, inline, seed):
     points = [(float(corner(100)), float(corner(200))) for _ in range(700)]
     points += [(b[3], b[4]) for b in boxes] + [(b[5], b[6]) for b in boxes]
     points += [(0.0, 0.0)] * 300  # many rows in one place
-    got = assigned(spark, points, boxes, inline)
+    got = assigned(spark, points, boxes)
     assert got == [first_zone(*p, boxes) for p in points]
     assert len(set(got)) > 10
 
 
-def test_a_long_zone_list_goes_by_tile(spark):
-    boxes = [(i, f"z{i}", None, 10.0 + i, 0.0, float(i), 10.0) for i in range(20)]
-    df = spark.createDataFrame([(5.0, 5.0), (30.0, 5.0)], "lat double, lon double")
-    for limit, joins in ((20, False), (19, True)):
-        out = assign_zone(df, zones(spark, boxes), "lat", "lon", "zone", inline_zones=limit)
-        assert tuples(out.select("zone")) == [("z0",), (None,)]
-        assert ("Join" in out._jdf.queryExecution().optimizedPlan().toString()) == joins
+def test_zones_without_a_place_in_the_order_are_left_out(spark):
+    boxes = [
+        (None, "a", None, 10.0, 0.0, 0.0, 10.0),
+        (3, "c", None, 10.0, 0.0, 0.0, 10.0),
+        (3, "b", None, 10.0, 0.0, 0.0, 10.0),
+    ]
+    assert assigned(spark, [(5.0, 5.0)], boxes) == ["b"]
+    assert assigned(spark, [(5.0, 5.0)], boxes[:1]) == [None]
+
+
+def test_boxes_of_every_size_meet_their_points(spark):
+    inf = float("inf")
+    boxes = [(i, f"z{i}", None, 2.0**i, -(2.0**i), -(2.0**i), 2.0**i) for i in range(-8, 12)]
+    boxes.append((99, "all", None, inf, -inf, -inf, inf))
+    points = [(s * 2.0**i + d, 0.0) for i in range(-8, 12) for s in (1, -1) for d in (0, 1e-9)]
+    points += [(1e300, -1e300), (5000.0, 0.0)]
+    assert assigned(spark, points, boxes) == [first_zone(*p, boxes) for p in points]
+
+
+def test_few_and_many_zones_have_one_plan_and_run_nothing_while_it_is_made(spark):
+    def boxes(n):
+        return spark.range(n).selectExpr(
+            "cast(id as int) zone_seq", "concat('z', id) continent", "'s' subzone",
+            "id % 90 + 1e0 tl_y", "id % 170 * 1e0 tl_x", "id % 90 * 1e0 br_y",
+            "id % 170 + 1e0 br_x",
+        )
+
+    points = spark.range(2000).selectExpr("id % 91 * 1e0 lat", "id % 171 * 1e0 lon")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("zones", "zones")
+    few, many = (assign_zone(points, boxes(n), "lat", "lon", "zone") for n in (10, 5000))
+    assert not tracker.getJobIdsForGroup("zones")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    shape = [re.findall(r"(\w+)(?: |$)", line)[:1] for line in explain(few)]
+    assert shape == [re.findall(r"(\w+)(?: |$)", line)[:1] for line in explain(many)]
+    assert many.filter("zone IS NOT NULL").count() > few.filter("zone IS NOT NULL").count()
+
+
+def explain(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
