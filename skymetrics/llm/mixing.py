@@ -20,7 +20,7 @@ SHARE = 1.5
 MOST_PASSES = 2
 
 # Documents of one stretch of the running sums.
-STRETCH = 50_000
+STRETCH = 5000
 
 
 def quality_weight(text: Column) -> Column:
