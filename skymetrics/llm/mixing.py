@@ -19,13 +19,15 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_PASSES = 2
 
+LETTERS = r"[\p{L}\x09-\x0D\x20]+"
+
 # Documents of one stretch of the running sums.
 STRETCH = 5000
 
 
 def quality_weight(text: Column) -> Column:
     """From 0.1 to 1.1: the share of letters and white space in a text."""
-    odd = F.length(F.regexp_replace(text, r"[\p{L}\s]+", ""))
+    odd = F.length(F.regexp_replace(text, LETTERS, ""))
     return F.coalesce(1.1 - odd / F.greatest(F.length(text), F.lit(1)), F.lit(0.1))
 
 
@@ -125,4 +127,4 @@ def sized(docs: DataFrame) -> DataFrame:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(sized(documents(spark, sf_dir)))
+    return mix(sized(documents(spark, sf_dir))).drop("passes", "sample_key")

@@ -204,8 +204,8 @@ def references(measured: DataFrame) -> DataFrame:
     long = measured.where((F.col("n_words") >= COMPARED_WORDS) & ~base_failed())
     near = compared(long, _summed(long))
     half = near.groupBy("language").agg(
-        F.percentile_approx("kinds_distance", 0.5, 1000).alias("kinds_half"),
-        F.percentile_approx("common_distance", 0.5, 1000).alias("common_half"),
+        F.percentile_approx("kinds_distance", 0.5, 10_000).alias("kinds_half"),
+        F.percentile_approx("common_distance", 0.5, 10_000).alias("common_half"),
     )
     core = near.join(F.broadcast(half), "language").where(
         (F.col("kinds_distance") <= F.col("kinds_half")) | (F.col("common_distance") <= F.col("common_half"))
@@ -224,6 +224,8 @@ def judge(docs: DataFrame) -> DataFrame:
     judged = compared(measured, stored(references(measured), "references"))
     enough = F.col("n_words") >= COMPARED_WORDS
     kinds, common = F.col("kinds_distance"), F.col("common_distance")
+    # Short documents are left to the base rules.
+    kinds, common = F.when(enough, kinds), F.when(enough, common)
     far = (kinds > CHARACTER_LIMIT) | (common > WORD_LIMIT) | (kinds + common > JOINT_LIMIT)
     return judged.select(
         "doc_id",
@@ -233,9 +235,10 @@ def judge(docs: DataFrame) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         base_failed().alias("base_failed"),
-        F.when(enough, kinds).alias("kinds_distance"),
-        F.when(enough, common).alias("common_distance"),
-    ).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
+        kinds.alias("kinds_distance"),
+        common.alias("common_distance"),
+        (~base_failed() & ~F.coalesce(far, F.lit(False))).alias("kept"),
+    )
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

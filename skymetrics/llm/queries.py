@@ -3,6 +3,7 @@
 from skymetrics.llm.language_id import op5_language_id
 from skymetrics.llm.license_scan import op3_license_scan
 from skymetrics.llm.mixing import op1_mixing
+from skymetrics.llm.oracle import ORACLE
 from skymetrics.llm.packing import op2_best_fit_packing
 from skymetrics.llm.pitman_yor_lm import op9_pitman_yor_lm
 from skymetrics.llm.quality_classifier import op7_quality_classifier
@@ -11,6 +12,8 @@ from skymetrics.llm.simhash_dedup import op10_simhash_dedup
 from skymetrics.llm.token_files import op4_token_files
 from skymetrics.llm.topk_search import op6_topk_search
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -26,5 +29,3 @@ QUERIES = {
         op10_simhash_dedup,
     )
 }
-
-ORACLE: dict[str, str] = {}
