@@ -1,5 +1,9 @@
 """Every registered query beside its SQL, on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as driver
@@ -35,3 +39,11 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_sql(spark, con, name):
     assert difference(spark, con, SF_SMALL, name) is None
+
+
+def test_the_text_queries_may_be_left_out():
+    code = (
+        "import sys; sys.modules['skymetrics.llm'] = None; import __spark_entry__ as d; "
+        "from checks.registry import QUERIES; assert set(d.queries()) == set(QUERIES), 'left over'"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(driver.__file__).parent)
