@@ -28,16 +28,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row of a document for each time the mix takes it: none, one or two.
 
-    Documents are taken whole, so texts stay as they are. Rows that repeat an id are told apart by
-    nothing the mix decides on, so the stage before must leave one row of each.
+    Documents are taken whole, so texts stay as they are. Rows that repeat an id and a text are each
+    taken as often as the one of them that is taken most.
     """
     times = free_name(docs, "times")
-    key = free_name(docs, f"{times}_id")
-    taken = mixing.mix(mixing.sized(docs), whole=True).select(
-        F.col("doc_id").alias(key),
-        F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1).cast("int").alias(times),
+    key, mark = free_name(docs, f"{times}_id"), free_name(docs, f"{times}_mark")
+    often = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1).cast("int")
+    taken = (
+        mixing.mix(mixing.sized(docs), whole=True)
+        .groupBy(F.col("doc_id").alias(key), F.col("mark").alias(mark))
+        .agg(F.max(often).alias(times))
     )
-    copies = docs.join(taken.where(F.col(times) > 0), F.col("doc_id").eqNullSafe(F.col(key)))
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(mark))
+    copies = docs.join(taken.where(F.col(times) > 0), same)
     return copies.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 

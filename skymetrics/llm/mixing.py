@@ -71,7 +71,7 @@ def _key(doc_id: str, weight: str) -> Column:
 
 
 def mix(sized: DataFrame, whole: bool = False) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, ...) from (doc_id, source, size, weight).
+    """(doc_id, mark, size, source_size, target, taken, ...) from (doc_id, mark, source, size, weight).
 
     ``whole`` takes the document at the edge of a budget once more or not at all, whichever is
     nearer to the target; otherwise as many of its words as are missing.
@@ -88,7 +88,7 @@ def mix(sized: DataFrame, whole: bool = False) -> DataFrame:
     n = max(1, sized.count() // STRETCH)
     keyed = keyed.withColumn("stretch", F.floor((1 - F.exp(-F.col("key"))) * n))
     at = [F.col("source"), F.col("stretch")]
-    within = Window.partitionBy(*at).orderBy("key", F.col("doc_id").asc_nulls_last(), "size")
+    within = Window.partitionBy(*at).orderBy("key", F.col("doc_id").asc_nulls_last(), "size", "mark")
     rows = within.rowsBetween(Window.unboundedPreceding, -1)
     inside = keyed.withColumn("inside", F.coalesce(F.sum("size").over(rows), F.lit(0)))
     order = Window.partitionBy("source").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
@@ -108,6 +108,7 @@ def mix(sized: DataFrame, whole: bool = False) -> DataFrame:
         extra = F.greatest(F.lit(0), F.least(F.col("size"), room))
     return inside.join(offsets, same).select(
         "doc_id",
+        "mark",
         "size",
         "source_size",
         "target",
@@ -118,13 +119,19 @@ def mix(sized: DataFrame, whole: bool = False) -> DataFrame:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, weight) of documents, stored."""
+    """(doc_id, mark, source, size, weight) of documents, stored; texts of one id differ in mark."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     return stored(
-        docs.select("doc_id", "source", size.alias("size"), quality_weight(F.col("text")).alias("weight")),
+        docs.select(
+            "doc_id",
+            F.xxhash64("text").alias("mark"),
+            "source",
+            size.alias("size"),
+            quality_weight(F.col("text")).alias("weight"),
+        ),
         "sized",
     )
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(sized(documents(spark, sf_dir))).drop("passes", "sample_key")
+    return mix(sized(documents(spark, sf_dir))).drop("mark", "passes", "sample_key")

@@ -209,31 +209,47 @@ def groups(fingerprints: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIM
     return components(edges).select(F.col("a").alias("fp"), F.col("b").alias("root"))
 
 
-def deduplicate(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs``."""
-    marked = stored(docs.select("doc_id", fingerprint(F.col("text")).alias("fp")), "fingerprints")
+def _grouped(marked: DataFrame, radius: int) -> DataFrame:
+    """(fp, root, component_id) of the fingerprints of (doc_id, fp)."""
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = groups(distinct.select("fp"), radius)
     rooted = distinct.join(roots, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "first_id"
     )
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(first, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rooted.join(first, "root").select("fp", "root", "component_id")
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    return stored(docs.select("doc_id", fingerprint(F.col("text")).alias("fp")), "fingerprints")
+
+
+def deduplicate(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, fp, component_id) of every row of ``docs``."""
+    marked = _marked(docs)
+    return marked.join(_grouped(marked, radius).drop("root"), "fp")
 
 
 def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row of ``docs`` for each group, that of its smallest id, with all its columns.
+    """One row of ``docs`` for each group, one with its smallest id, with all its columns.
 
-    Rows that repeat an id are told apart by nothing, so any one of them stands for it.
+    Of several texts with that id the one with the smallest fingerprint stays, of several rows with
+    that text too any one.
     """
-    found = deduplicate(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    marked = _marked(docs)
+    named = marked.join(_grouped(marked, radius), "fp")
+    smallest = named.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = smallest.groupBy("root").agg(F.min("fp").alias("fp"), F.first("component_id").alias("doc_id"))
+    chosen = stored(chosen.drop("root"), "chosen")
+    fp = free_name(docs, "fp")
+    texts = docs.withColumn(fp, fingerprint(F.col("text")))
     known = F.col("doc_id").isNotNull()
-    # Texts are dealt out once, by id, for the join and for the choice among repeated ids.
-    firsts = found.where(known).select("doc_id").distinct()
-    kept = docs.where(known).join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = found.where(~known).select(F.lit(1).alias("one")).limit(1)
-    return kept.unionByName(docs.where(~known).limit(1).join(nameless, F.lit(True), "left_semi"))
+    # Repeated rows are put together before texts are dealt out, which is done once, by id.
+    rows = texts.where(known).dropDuplicates(["doc_id", fp])
+    kept = rows.join(chosen.where(known).withColumnRenamed("fp", fp), ["doc_id", fp], "left_semi")
+    nameless = texts.where(~known).dropDuplicates([fp])
+    rest = nameless.join(chosen.where(~known).select(F.col("fp").alias(fp)), fp, "left_semi")
+    return kept.select(*docs.columns).unionByName(rest.select(*docs.columns))
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,6 +95,13 @@ def test_no_link_is_lost(spark, limit):
     assert len(pairs) == len(set(cluster.values())) == len(set(roots.values()))
 
 
+def test_one_of_each_group_stays_whatever_its_ids(spark):
+    texts = ["all of this is one text", "and this is quite another one", "a third text of the table", "the fourth"]
+    data = [(i, texts[t], "en", "s", 1) for i, t in ((3, 0), (5, 0), (5, 1), (None, 1), (None, 2), (None, 2), (None, 3), (5, 1))]
+    kept = simhash_dedup.keep_first(table(spark, data)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("3", texts[0]), ("5", texts[1]), ("None", texts[2]), ("None", texts[3])])
+
+
 def test_one_of_each_group_stays(spark):
     data = rows() + near_copies()
     docs = table(spark, data)
@@ -162,7 +169,7 @@ def test_targets_and_takes(spark):
 
 def test_heavier_documents_come_first_more_often(spark, monkeypatch):
     sized = spark.range(6000).selectExpr(
-        "id as doc_id", "if(id % 3 = 0, 'a', 'b') as source", "10L as size", "if(id % 2 = 0, 1.0, 0.25) as weight"
+        "id as doc_id", "id as mark", "if(id % 3 = 0, 'a', 'b') as source", "10L as size", "if(id % 2 = 0, 1.0, 0.25) as weight"
     )
     whole = mixing.mix(sized).collect()
     monkeypatch.setattr(mixing, "STRETCH", 200)
