@@ -34,7 +34,7 @@ from pyspark.sql.functions import spark_partition_id
 from tokenizers import Tokenizer
 
 from skymetrics.llm.common import documents, kept, stored
-from skymetrics.plans.session import scratch_folder
+from skymetrics.plans.session import file_system, scratch_folder
 
 MAGIC = b"TOKBITS\x01"
 BLOCK = 4096
@@ -269,9 +269,14 @@ def read(spark: SparkSession, folder: str, listed: DataFrame) -> DataFrame:
     )
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder with its file system, as the cluster takes it."""
+    fs, path = file_system(spark, folder)
+    uri = fs.makeQualified(path).toString()
+    return "file://" + uri.removeprefix("file:") if uri.startswith("file:/") and "://" not in uri else uri
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_folder(spark, "tokens")
-    if "://" not in folder:
-        folder = f"file://{folder}" if not folder.startswith("file:") else folder
+    folder = qualified(spark, scratch_folder(spark, "tokens"))
     listed = write(documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json"))
     return read(spark, folder, listed)

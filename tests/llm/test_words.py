@@ -172,7 +172,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 def test_files_give_back_the_ids(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "FILE_IDS", 3000)
     data = rows() + [(3, "other text of an id", "en", "s", 1)]
-    docs, folder = table(spark, data), f"file://{tmp_path}/tokens"
+    docs, folder = table(spark, data), token_files.qualified(spark, f"{tmp_path}/tokens")
     listed = token_files.write(docs, folder, PATH)
     got = [tuple(r) for r in token_files.read(spark, folder, listed).collect()]
     assert listed.count() > 3
@@ -223,6 +223,6 @@ def test_empty_tables(spark):
     docs = table(spark, [])
     assert license_scan.scan_documents(docs).count() == 0
     assert quality_rules.judge(docs).count() == 0
-    folder = scratch_folder(spark, "tokens")
-    folder = folder if "://" in folder else f"file://{folder}"
+    folder = token_files.qualified(spark, scratch_folder(spark, "tokens"))
+    assert folder.startswith("file:///")
     assert token_files.read(spark, folder, token_files.write(docs, folder, PATH)).count() == 0
