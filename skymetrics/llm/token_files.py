@@ -23,6 +23,7 @@ order of a hash of their texts. An empty table gives no file.
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -151,7 +152,7 @@ class Encoder(dict):
             last = stem[-1:]
             if stem and len(stem) < len(word) and last.isalnum() and last < b"\x80":
                 cut[word] = stem
-        stems = (words | set(cut.values())) - cut.keys() - self.keys()
+        stems = set(filterfalse(self.__contains__, words.difference(cut).union(cut.values())))
         plain = [w for w in stems if (t := w.decode()).isalpha() and max(t) < "\u0250"]
         for i in range(0, len(plain), 500):
             part = plain[i : i + 500]
@@ -171,7 +172,8 @@ class Encoder(dict):
         low = [r.lower() for r in raw]
         special = [any(s in a or s in b for s in self.specials) for a, b in zip(raw, low)]
         words = [[] if odd else b.split() for odd, b in zip(special, low)]
-        self._learn(set().union(*words) - self.keys())
+        # Not a difference of sets, which would walk through all words remembered.
+        self._learn(set(filterfalse(self.__contains__, set().union(*words))))
         ids = self.__getitem__
         return [self._ids(t) if odd else b"".join(map(ids, w)) for t, odd, w in zip(texts, special, words)]
 
