@@ -3,7 +3,8 @@
 ``stored_*`` time the real flow: tables and results stored as hourly snapshots, each question
 reading its hour; ``value`` sums the ``stored_kpi*`` questions. ``kpi*`` derive the star schema from
 the generic tables within the timed query. ``ingest_flights`` types, cleans and stores landed
-JSON lines, and stores the rejects. Every figure is the median of three runs after one warm-up.
+JSON lines, and stores the rejects. Every figure is the median of three runs after one warm-up, but
+for the text queries (``op*`` and ``pipeline``, where they are registered), which run once.
 """
 
 import json
@@ -13,6 +14,7 @@ import tempfile
 import time
 from collections.abc import Callable
 
+import __spark_entry__ as driver
 from checks import derived
 from checks.registry import QUERIES, RUN_HOUR
 from skymetrics.operators.enrich import zoned_airports
@@ -86,6 +88,11 @@ def main() -> None:
     timed["stored_kpi2_and_save"] = seconds(
         lambda: run_kpi(spark, "kpi2", store, results, RUN_HOUR)
     )
+    for name, q in driver.queries().items():
+        if name not in QUERIES:
+            start = time.perf_counter()
+            drain(q(spark, SF_DIR))
+            timed[name] = round(time.perf_counter() - start, 3)
     value = round(sum(timed[f"stored_{name}"] for name in QUESTIONS), 3)
     sf = os.path.basename(os.path.normpath(SF_DIR)).removeprefix("sf")
     print(
