@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skymetrics.llm.common import small_batches
 from skymetrics.plans.session import scratch_folder
 
 BLOCK_BYTES = 12 << 20
@@ -80,6 +81,7 @@ def _blocks(end: bytes | None):
 def build(docs: DataFrame, flag: Column, end: bytes | None = None) -> DataFrame:
     """The blocks of ``docs``, stored. ``flag`` marks documents whose words ``uses`` counts, while
     ``holders`` counts the documents that hold a word; ``end`` is a word added to each document."""
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", flag.alias("flag"), "text").mapInArrow(_blocks(end), SCHEMA)
     folder = scratch_folder(docs.sparkSession, "blocks")
     rows.write.option("compression", "zstd").parquet(folder)

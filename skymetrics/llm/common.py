@@ -15,6 +15,8 @@ from skymetrics.plans.session import scratch_folder
 # Fixed value: a word of the contracts, a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_ROWS = 1000
+
 # Text handled at once inside a task, in bytes; bounds the memory of the vectorised code.
 CHUNK_BYTES = 2 << 20
 
@@ -23,6 +25,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lets batches that go to Python hold few rows, as texts are long.
+
+    A batch is in memory several times, in the executor's buffers and in Python. A session that
+    has a setting of its own keeps it.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def fold_is(modulus: int, remainder: int, key: str = "doc_id") -> Column:
     """Whether crc32 of the key's text leaves ``remainder``; false for a null key."""
     crc = F.crc32(F.col(key).cast("string").cast("binary"))

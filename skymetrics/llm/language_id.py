@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from skymetrics.llm.common import documents, fold_is
+from skymetrics.llm.common import documents, fold_is, small_batches
 
 # Bounds of the fitting sample, by hash of the id, and of the word table of each language.
 TRAIN_DOCUMENTS = 6000
@@ -156,6 +156,7 @@ def identify(text: Column, model) -> Column:
 
 
 def _model(docs: DataFrame):
+    small_batches(docs.sparkSession)
     return learn(docs.where(~fold_is(3, 1)))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from skymetrics.llm.common import documents
+from skymetrics.llm.common import documents, small_batches
 
 # Base phrases and their labels.
 BASE_PHRASES = {
@@ -225,6 +225,7 @@ def licences(text: Column) -> Column:
 
 def scan_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, findings) of every row of ``docs``."""
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", licences(F.col("text")).alias("found")).select("doc_id", "found.*")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from skymetrics.llm.common import chunks, documents, fold_is, text_bytes
+from skymetrics.llm.common import chunks, documents, fold_is, small_batches, text_bytes
 
 # Bounds of the fitting sample: labelled documents, taken by hash of their id, and lines of each
 # stretch that is fitted as one chain.
@@ -224,6 +224,7 @@ def _like(column: pa.Array, texts: pa.Array):
 
 def learn(docs: DataFrame, labels: DataFrame) -> Field | None:
     """Fits the field on documents whose label the caller lets it see."""
+    small_batches(docs.sparkSession)
     picked = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from skymetrics.llm.common import documents, free_name, stored
+from skymetrics.llm.common import documents, free_name, small_batches, stored
 from skymetrics.llm.components import components
 
 SHINGLE = 4
@@ -221,6 +221,7 @@ def _grouped(marked: DataFrame, radius: int) -> DataFrame:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     return stored(docs.select("doc_id", fingerprint(F.col("text")).alias("fp")), "fingerprints")
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import spark_partition_id
 from tokenizers import Tokenizer
 
-from skymetrics.llm.common import documents, kept, stored
+from skymetrics.llm.common import documents, kept, small_batches, stored
 from skymetrics.plans.session import file_system, scratch_folder
 
 MAGIC = b"TOKBITS\x01"
@@ -199,6 +199,7 @@ def write(docs: DataFrame, folder: str, path: str, end: int = END_ID) -> DataFra
     bits = bits_for(Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True))
     fs, base = pyarrow.fs.FileSystem.from_uri(folder)
     fs.create_dir(base, recursive=True)
+    small_batches(docs.sparkSession)
     stop = np.array([end], "<u4").tobytes()
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
