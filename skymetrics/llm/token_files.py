@@ -43,7 +43,7 @@ END_ID = 1
 
 # Ids of a file; words whose ids a worker remembers; texts that are encoded together.
 FILE_IDS = 2 << 20
-_CACHE_LIMIT = 1_300_000
+_CACHE_LIMIT = 2_000_000
 _TOGETHER = 500
 
 
