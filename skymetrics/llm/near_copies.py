@@ -1,0 +1,188 @@
+"""Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+
+Candidates come from fingerprints. A text has ``HASHES`` minima of its shingles under as many hashes;
+a fingerprint has one bit of each, so two texts at similarity s differ in about (1 - s) / 2 of
+its bits. Twelve bands of four minima each name a shard, in which fingerprints are searched by a
+BK-tree as in ``simhash_dedup``. At 0.8 two texts share a band with probability 0.998 and
+are within ``RADIUS`` with 0.999; above it, with more.
+
+What hangs together by candidates is then checked exactly: each text goes with its shingles to
+its group once, pairs are linked if they are similar enough, and components of these links
+are the groups of near copies. A group of more than ``CROWDED`` texts is checked band by band instead.
+
+Texts are compared by their words in lower case (ASCII). A text of fewer words is one shingle. Null and
+empty texts are copies of each other.
+"""
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+
+from skymetrics.llm import simhash_dedup
+from skymetrics.llm.common import small_batches, stored
+from skymetrics.llm.components import components
+from skymetrics.llm.simhash_dedup import SEED
+
+SHINGLE = 5
+SIMILARITY = 0.8
+HASHES = 64
+BANDS, BAND = 12, 4
+RADIUS = 16
+CROWDED = 5000
+
+_FACTORS = np.random.default_rng(SEED).integers(1 << 62, (1 << 63) - 1, HASHES).astype(np.uint64) | np.uint64(1)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+# Products of a hash and a shingle that are made at once, per hash.
+_STRETCH = 1 << 12
+
+
+def _mixed(bits: np.ndarray) -> np.ndarray:
+    bits = (bits ^ (bits >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    bits = (bits ^ (bits >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return bits ^ (bits >> np.uint64(31))
+
+
+def shingles_of(text: bytes) -> np.ndarray:
+    """Distinct hashes of the shingles of a UTF-8 text, ascending."""
+    digest = xxhash.xxh64_intdigest
+    words = np.array([digest(w, SEED) for w in text.lower().split()], np.uint64)
+    n = max(1, len(words) - SHINGLE + 1)
+    if not len(words):
+        return words
+    joined = np.zeros(n, np.uint64)
+    for i in range(min(SHINGLE, len(words))):
+        joined = joined * _STEP + words[i : i + n]
+    return np.unique(_mixed(joined))
+
+
+def minima_of(shingles: np.ndarray) -> np.ndarray:
+    """The least value of the shingles under each hash."""
+    least = np.full(HASHES, (1 << 64) - 1, np.uint64)
+    for i in range(0, len(shingles), _STRETCH):
+        least = np.minimum(least, (shingles[None, i : i + _STRETCH] * _FACTORS[:, None]).min(1))
+    return least
+
+
+def _mark_of(text: bytes) -> int:
+    return xxhash.xxh64_intdigest(b" ".join(text.lower().split()), SEED)
+
+
+def _signed(values) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+
+@arrow_udf(LongType())
+def mark(texts: pa.Array) -> pa.Array:
+    """A number for the words of each text, the same for copies."""
+    return _signed([_mark_of((t.as_py() or "").encode()) for t in texts])
+
+
+_SIGNATURE = StructType(
+    [StructField("mark", LongType()), StructField("fp", LongType()), StructField("bands", ArrayType(LongType()))]
+)
+
+
+@arrow_udf(_SIGNATURE)
+def signature(texts: pa.Array) -> pa.Array:
+    """Mark, fingerprint and band keys of each text."""
+    raw = [(t.as_py() or "").encode() for t in texts]
+    minima = np.array([minima_of(shingles_of(t)) for t in raw], np.uint64).reshape(len(raw), HASHES)
+    bits = _mixed(minima) & np.uint64(1)
+    fps = np.packbits(bits.astype(np.uint8), axis=1, bitorder="little").view(np.uint64).ravel()
+    keys = np.zeros((len(raw), BANDS), np.uint64)
+    for i in range(BAND):
+        keys = _mixed(keys * _STEP + minima[:, i : BANDS * BAND : BAND])
+    ends = np.arange(0, len(raw) * BANDS + 1, BANDS, dtype=np.int32)
+    bands = pa.ListArray.from_arrays(pa.array(ends), _signed(keys.ravel()))
+    return pa.StructArray.from_arrays([_signed([_mark_of(t) for t in raw]), _signed(fps), bands], ["mark", "fp", "bands"])
+
+
+@arrow_udf(BinaryType())
+def shingles(texts: pa.Array) -> pa.Array:
+    return pa.array([shingles_of((t.as_py() or "").encode()).tobytes() for t in texts], pa.binary())
+
+
+def similar(sets: list[np.ndarray]):
+    """Yields (i, j): for each set, those before it that are similar enough, by shared shingles."""
+    sizes = np.array([len(s) for s in sets])
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(number, kind="stable")
+    holders = owner[order]
+    begin = np.searchsorted(number[order], np.arange(number.max(initial=-1) + 1))
+    ends = np.cumsum(sizes)
+    place = np.empty(len(order), np.int64)  # of a shingle of a set among the holders
+    place[order] = np.arange(len(order))
+    for i in range(1, len(sets)):
+        at = slice(ends[i] - sizes[i], ends[i])
+        low, high = begin[number[at]], place[at]  # holders before i
+        count = high - low
+        if not count.any():
+            continue
+        both = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        shared = np.bincount(holders[both], minlength=i)
+        # In whole numbers, as 0.8 has no exact form.
+        near = np.flatnonzero(shared * 100 >= round(SIMILARITY * 100) * (sizes[:i] + sizes[i] - shared))
+        near = near[shared[near] > 0]
+        if len(near):
+            yield np.full(len(near), i), near
+
+
+def _verified(group: pa.Table) -> pa.Table:
+    """Links of the texts of a group that are near copies, as stars."""
+    marks, first = np.unique(group["mark"].to_numpy(), return_index=True)
+    label = np.arange(len(marks))
+    if len(marks) > 1:
+        sets = [np.frombuffer(group["shingles"][int(i)].as_py(), np.uint64) for i in first]
+        for i, j in similar(sets):
+            roots = np.unique(np.append(label[j], label[i[0]]))
+            label[np.isin(label, roots)] = roots[0]
+    tied = np.flatnonzero(label != np.arange(len(marks)))
+    return pa.table({"x": pa.array(marks[tied], pa.int64()), "y": pa.array(marks[label[tied]], pa.int64())})
+
+
+def _components(links: DataFrame) -> DataFrame:
+    return components(links.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
+
+
+def _groups(docs: DataFrame, texts: DataFrame, crowded: int) -> DataFrame:
+    """(a, b): the smallest mark ``b`` of the near copies of each mark ``a``, for marks that aren't it."""
+    keyed = texts.select("fp", F.posexplode("bands").alias("mask", "key"))
+    roots = _components(simhash_dedup._linked(keyed, RADIUS)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    rooted = texts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    sizes = rooted.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    suspects = stored(rooted.join(sizes, "root").drop("fp"), "suspects")
+    here = docs.select("doc_id", mark(F.col("text")).alias("of"), "text")
+    same = (F.col("of") == F.col("mark")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    read = here.join(suspects, same).select("mark", "root", "n", "bands", shingles(F.col("text")).alias("shingles"))
+    read = stored(read, "shingles")
+    whole = read.where(F.col("n") <= crowded).select(F.lit(-1).alias("band"), F.col("root").alias("key"), "mark", "shingles")
+    cut = read.where(F.col("n") > crowded).select(F.posexplode("bands").alias("band", "key"), "mark", "shingles")
+    checked = whole.unionByName(cut).groupBy("band", "key").applyInArrow(_verified, "x bigint, y bigint")
+    return _components(checked)
+
+
+def keep_first(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """One row of ``docs`` for each group of near copies, one with its smallest id, with all its columns.
+
+    Of several texts with that id the one with the smallest mark stays, of several rows with
+    that text too any one.
+    """
+    small_batches(docs.sparkSession)
+    signed = stored(docs.select("doc_id", signature(F.col("text")).alias("s")).select("doc_id", "s.*"), "signatures")
+    first = signed.groupBy("mark").agg(F.min("doc_id").alias("first_id"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    texts = stored(first, "texts")
+    roots = _groups(docs, texts, crowded).select(F.col("a").alias("mark"), F.col("b").alias("root"))
+    rooted = texts.select("mark", "first_id").join(roots, "mark", "left")
+    # An id may have several texts of a group, so marks are compared with all ids of their text.
+    named = signed.select("mark", "doc_id").distinct().join(
+        rooted.select("mark", F.coalesce("root", "mark").alias("root")), "mark"
+    )
+    # Nulls last, then the smallest mark of that id.
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "mark")).alias("best")
+    chosen = named.groupBy("root").agg(best).select("best.doc_id", F.col("best.mark").alias("mark"))
+    return simhash_dedup.rows_of(docs, stored(chosen, "chosen"), "mark", mark)

@@ -241,15 +241,19 @@ def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     named = marked.join(_grouped(marked, radius), "fp")
     smallest = named.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = smallest.groupBy("root").agg(F.min("fp").alias("fp"), F.first("component_id").alias("doc_id"))
-    chosen = stored(chosen.drop("root"), "chosen")
-    fp = free_name(docs, "fp")
-    texts = docs.withColumn(fp, fingerprint(F.col("text")))
+    return rows_of(docs, stored(chosen.drop("root"), "chosen"), "fp", fingerprint)
+
+
+def rows_of(docs: DataFrame, chosen: DataFrame, name: str, number) -> DataFrame:
+    """A row of ``docs`` for each (doc_id, ``name``) of ``chosen``, by the ``number`` of its text."""
+    fp = free_name(docs, name)
+    texts = docs.withColumn(fp, number(F.col("text")))
     known = F.col("doc_id").isNotNull()
     # Repeated rows are put together before texts are dealt out, which is done once, by id.
     rows = texts.where(known).dropDuplicates(["doc_id", fp])
-    kept = rows.join(chosen.where(known).withColumnRenamed("fp", fp), ["doc_id", fp], "left_semi")
+    kept = rows.join(chosen.where(known).withColumnRenamed(name, fp), ["doc_id", fp], "left_semi")
     nameless = texts.where(~known).dropDuplicates([fp])
-    rest = nameless.join(chosen.where(~known).select(F.col("fp").alias(fp)), fp, "left_semi")
+    rest = nameless.join(chosen.where(~known).select(F.col(name).alias(fp)), fp, "left_semi")
     return kept.select(*docs.columns).unionByName(rest.select(*docs.columns))
 
 

@@ -1,0 +1,64 @@
+"""Near copies at a similarity of 0.8 or more in five-word shingles."""
+
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from skymetrics.llm import near_copies
+from tests.llm.helpers import prose, table
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def planted(pairs=60, low=0.80, high=0.95, seed=3):
+    """Pairs of a text and a copy of it with words changed until the similarity is as drawn."""
+    rng, found = random.Random(seed), []
+    for i in range(pairs):
+        words = [f"{w}{rng.randrange(50)}" for w in prose(rng, "en", 400).split()]
+        goal, changed = rng.uniform(low, high), list(words)
+        while True:
+            trial = list(changed)
+            trial[rng.randrange(len(trial))] = f"new{rng.randrange(10**6)}"
+            if jaccard(" ".join(words), " ".join(trial)) < goal:
+                break
+            changed = trial
+        found += [(2 * i, " ".join(words), "en", "s", 1), (2 * i + 1, " ".join(changed), "en", "s", 1)]
+    return found
+
+
+@pytest.mark.parametrize("crowded", [near_copies.CROWDED, 1], ids=["whole", "by band"])
+def test_copies_at_080_to_095_go(spark, crowded):
+    data = planted()
+    near = [jaccard(data[i][1], data[i + 1][1]) for i in range(0, len(data), 2)]
+    assert min(near) < 0.83 and max(near) > 0.93
+    out = [r.doc_id for r in near_copies.keep_first(table(spark, data), crowded).collect()]
+    assert sorted(out) == [d[0] for d in data[::2]]
+
+
+def test_stage_drops_copies_but_no_clean_document(spark):
+    near, far = planted(20), planted(20, 0.70, 0.79, seed=5)
+    data = near + [(1000 + d[0], *d[1:]) for d in far]
+    out = corpus_pipeline.near_duplicates(spark, table(spark, data), "").collect()
+    assert sorted(r.doc_id for r in out) == [d[0] for d in near[::2]] + [1000 + d[0] for d in far]
+
+
+def test_similar_equals_brute_force():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 60, 120).astype(np.uint64)
+    sets = [np.unique(np.where(rng.random(120) < rng.random() * 0.3, rng.integers(0, 1 << 60, 120), base.astype(np.int64)).astype(np.uint64)) for _ in range(40)]
+    sets += [np.empty(0, np.uint64), sets[0]]
+    got = {(int(a), int(b)) for i, j in near_copies.similar(sets) for a, b in zip(i, j)}
+    common = lambda a, b: len(np.intersect1d(a, b))
+    union = lambda a, b: len(np.union1d(a, b))
+    want = {(i, j) for i in range(42) for j in range(i) if common(sets[i], sets[j]) * 5 >= 4 * union(sets[i], sets[j]) > 0}
+    assert got == want and want
