@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymetrics.llm.common import WORD, documents, stored
+from skymetrics.llm import simhash_dedup
+from skymetrics.llm.common import WORD, documents, small_batches, stored
 
 WINDOW = 2048
 PER_SOURCE = 4
@@ -117,10 +118,21 @@ def pack(sized: DataFrame, window: int = WINDOW, per_source: int = PER_SOURCE, s
 def sized(docs: DataFrame) -> DataFrame:
     """(doc_id, source, cluster, size): exact copies of a text, bar white space, are one cluster."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    plain = F.regexp_replace(F.trim("text"), r"[\x20\x09-\x0D]+", " ")
+    plain = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
     cluster = F.coalesce(F.xxhash64(plain), F.lit(0))
     return stored(docs.select("doc_id", "source", cluster.alias("cluster"), size.alias("size")), "sized")
 
 
+def classed(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, cluster, size): near copies, as op10 groups them, are one cluster."""
+    small_batches(docs.sparkSession)
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+    fp = simhash_dedup.fingerprint(F.col("text")).alias("fp")
+    marked = stored(docs.select("doc_id", "source", size, fp), "sized")
+    roots = simhash_dedup.groups(stored(marked.select("fp").distinct(), "distinct"))
+    cluster = F.coalesce("root", "fp").alias("cluster")
+    return stored(marked.join(roots, "fp", "left").select("doc_id", "source", cluster, "size"), "classed")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(sized(documents(spark, sf_dir)))
+    return pack(classed(documents(spark, sf_dir)))
