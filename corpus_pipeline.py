@@ -6,7 +6,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymetrics.llm import language_id, mixing, near_copies, packing, quality_classifier
+from skymetrics.llm import language_id, mixing, packing, quality_classifier, simhash_dedup
 from skymetrics.llm.common import documents, free_name, stored
 
 
@@ -21,8 +21,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of texts that are at least 0.8 alike."""
-    return near_copies.keep_first(docs)
+    """The document with the smallest id of each group of fingerprints that hang together."""
+    return simhash_dedup.keep_first(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
