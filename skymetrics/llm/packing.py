@@ -13,8 +13,11 @@ one cluster, so never together.
 """
 
 from bisect import bisect_left, insort
+from collections import Counter
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,46 +76,56 @@ def best_fit(sizes, sources, clusters, window: int = WINDOW, per_source: int = P
     return found
 
 
-def _bits(values: pd.Series, only_shared: bool) -> list[int]:
+def _bits(values: list, only_shared: bool) -> list[int]:
     """One bit for each value; none for nulls and, if asked, for values that occur once."""
-    codes, names = pd.factorize(values)
-    if only_shared:
-        counts = pd.Series(codes).map(pd.Series(codes).value_counts())
-        codes = pd.factorize(pd.Series(codes).where((counts > 1) & (codes >= 0)))[0]
-    return [1 << int(c) if c >= 0 else 0 for c in codes]
-
-
-def pack(sized: DataFrame, window: int = WINDOW, per_source: int = PER_SOURCE, shard: int = SHARD) -> DataFrame:
-    """Packs rows (doc_id, source, cluster, size): a row (doc_id, piece, piece_start, n_words,
-    window_id, window_start) for each piece."""
-    shards = max(1, -(-sized.count() // shard))
-    dealt = F.pmod(F.xxhash64("doc_id", "cluster", "size", F.monotonically_increasing_id()), F.lit(shards))
-    rows = stored(sized.withColumn("shard", dealt), "dealt")
-
-    def packed(key, rows):
-        rows = rows.sort_values(["size", "doc_id", "cluster"], ascending=[False, True, True], kind="stable")
-        parts = rows["size"] // window + ((rows["size"] % window > 0) | (rows["size"] == 0))
-        pieces = rows.loc[rows.index.repeat(parts.astype(int))].reset_index(drop=True)
-        number = pieces.groupby(rows.index.repeat(parts.astype(int))).cumcount().to_numpy()
+    counts = Counter(values)
+    place: dict = {}
+    return [
+        0 if v is None or (only_shared and counts[v] == 1) else 1 << place.setdefault(v, len(place))
+        for v in values
+    ]
+
+
+def _packed(window: int, per_source: int):
+    # Arrow and not pandas, which would make floats of ids beside a null.
+    def packed(key: tuple, rows: pa.Table) -> pa.Table:
+        order = [("size", "descending"), ("doc_id", "ascending"), ("cluster", "ascending"), ("source", "ascending")]
+        rows = rows.take(pc.sort_indices(rows, order))
+        size = rows["size"].to_numpy()
+        parts = np.maximum(1, -(-size // window))
+        row = np.repeat(np.arange(len(size)), parts)
+        number = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
         start = number * window
-        length = (pieces["size"].to_numpy() - start).clip(max=window)
-        found = best_fit(
-            length.tolist(), _bits(pieces["source"], False), _bits(pieces["cluster"], True), window, per_source
-        )
-        bins, at = zip(*found) if found else ((), ())
-        return pd.DataFrame(
+        length = np.minimum(size[row] - start, window)
+        pieces = rows.take(pa.array(row))
+        sources = _bits(pieces["source"].to_pylist(), False)
+        clusters = _bits(pieces["cluster"].to_pylist(), True)
+        found = best_fit(length.tolist(), sources, clusters, window, per_source)
+        return pa.table(
             {
-                "doc_id": pieces["doc_id"].astype("Int64"),
+                "doc_id": pieces["doc_id"],
                 "piece": number,
                 "piece_start": start,
                 "n_words": length,
-                "window_id": [f"{key[0]}-{b}" for b in bins],
-                "window_start": at,
+                "window_id": pa.array([f"{key[0].as_py()}-{bin_}" for bin_, _ in found], pa.string()),
+                "window_start": pa.array([at for _, at in found], pa.int64()),
             }
         )
 
+    return packed
+
+
+def pack(sized: DataFrame, window: int = WINDOW, per_source: int = PER_SOURCE, shard: int = SHARD) -> DataFrame:
+    """Packs rows (doc_id, source, cluster, size): a row (doc_id, piece, piece_start, n_words,
+    window_id, window_start) for each piece."""
+    # Equal rows are counted and numbered, so that they are spread and no split of files matters.
+    same = ["doc_id", "source", "cluster", "size"]
+    counted = sized.groupBy(*same).agg(F.count("*").alias("copies"))
+    rows = counted.select(*same, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    shards = max(1, -(-sized.count() // shard))
+    dealt = F.pmod(F.xxhash64("doc_id", "cluster", "size", "copy"), F.lit(shards))
     schema = "doc_id bigint, piece bigint, piece_start bigint, n_words bigint, window_id string, window_start bigint"
-    return rows.groupBy("shard").applyInPandas(packed, schema)
+    return rows.withColumn("shard", dealt).groupBy("shard").applyInArrow(_packed(window, per_source), schema)
 
 
 def sized(docs: DataFrame) -> DataFrame:
