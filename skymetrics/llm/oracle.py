@@ -2,6 +2,7 @@
 
 from skymetrics.llm import mixing
 from skymetrics.llm import quality_rules as rules
+from skymetrics.llm import ranked_search as ranked
 from skymetrics.llm import topk_search as search
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -167,4 +168,38 @@ SELECT query_id, doc_id, CAST(row_number() OVER (PARTITION BY query_id
     ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, round(score, 6) AS score
 FROM scored QUALIFY rank <= {search.K}"""
 
-ORACLE = {"op1_mixing": OP1, "op6_topk_search": OP6, "op8_quality_rules": OP8}
+
+# -- ranked lexical search ----------------------------------------------------------------------------
+
+
+def _terms(table: str, row: str, key: str) -> str:
+    """A row for each term of each row of a table."""
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""SELECT {row}, {key}, unnest(regexp_extract_all({lowered},
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM (SELECT row_number() OVER () AS {row}, {key}, text FROM {table})"""
+
+
+OP11 = f"""
+WITH times AS (
+    SELECT row, doc_id, term, count(*) AS tf FROM ({_terms("documents", "row", "doc_id")}) GROUP BY ALL),
+sizes AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM times GROUP BY row),
+stats AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2e0 * any_value(docs) + 2) / (2e0 * count(*) + 1))) AS BIGINT) AS w
+    FROM times, stats GROUP BY term),
+asked AS (
+    SELECT item, item_id, term, count(*) AS occurs FROM ({_terms("benchmark", "item", "item_id")}) GROUP BY ALL),
+scored AS (
+    SELECT item, item_id, row, doc_id, CAST(sum(occurs * w * (({ranked.SCALE} * tf)
+        // (1000 * tf + 8 * ({100 - ranked.LENGTH_SHARE} + ({ranked.LENGTH_SHARE} * n * docs) // terms)))) AS BIGINT)
+            AS score
+    FROM asked JOIN times USING (term) JOIN weights USING (term) JOIN sizes USING (row), stats
+    GROUP BY ALL)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS place
+    FROM scored WHERE score > 0)
+WHERE place <= {ranked.K}"""
+
+
+ORACLE = {"op1_mixing": OP1, "op6_topk_search": OP6, "op8_quality_rules": OP8, "op11_ranked_search": OP11}

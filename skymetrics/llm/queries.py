@@ -1,5 +1,6 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
+from skymetrics.llm.cost_packing import op13_cost_packing
 from skymetrics.llm.language_id import op5_language_id
 from skymetrics.llm.license_scan import op3_license_scan
 from skymetrics.llm.mixing import op1_mixing
@@ -8,6 +9,7 @@ from skymetrics.llm.packing import op2_best_fit_packing
 from skymetrics.llm.pitman_yor_lm import op9_pitman_yor_lm
 from skymetrics.llm.quality_classifier import op7_quality_classifier
 from skymetrics.llm.quality_rules import op8_quality_rules
+from skymetrics.llm.ranked_search import op11_ranked_search
 from skymetrics.llm.simhash_dedup import op10_simhash_dedup
 from skymetrics.llm.token_files import op4_token_files
 from skymetrics.llm.topk_search import op6_topk_search
@@ -27,5 +29,7 @@ QUERIES = {
         op8_quality_rules,
         op9_pitman_yor_lm,
         op10_simhash_dedup,
+        op11_ranked_search,
+        op13_cost_packing,
     )
 }
