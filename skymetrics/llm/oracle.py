@@ -1,6 +1,7 @@
 """SQL for the queries that SQL can express, over the same tables."""
 
 from skymetrics.llm import mixing
+from skymetrics.llm import phrase_mining as mining
 from skymetrics.llm import quality_rules as rules
 from skymetrics.llm import ranked_search as ranked
 from skymetrics.llm import topk_search as search
@@ -202,4 +203,46 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id
 WHERE place <= {ranked.K}"""
 
 
-ORACLE = {"op1_mixing": OP1, "op6_topk_search": OP6, "op8_quality_rules": OP8, "op11_ranked_search": OP11}
+# -- phrase collocation mining ------------------------------------------------------------------------
+
+# Parts of a list of words, of ``m`` words each, joined.
+_OF_LENGTH = "unnest([array_to_string(w[i : i + m - 1], ' ') FOR i IN range(1, len(w) - m + 2)])"
+
+OP12 = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang),
+counts AS (
+    SELECT lang, phrase, count(*) AS f
+    FROM (SELECT lang, {_OF_LENGTH} AS phrase FROM split, range(1, {mining.LONGEST + 1}) AS sizes(m))
+    GROUP BY ALL HAVING count(*) >= {mining.LEAST}),
+phrases AS (SELECT lang, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE contains(phrase, ' ')),
+cuts AS (
+    SELECT p.lang, p.phrase, p.f AS a, k, x.f AS l, y.f AS r,
+        CAST(CAST({mining.SCALE} AS HUGEINT) * p.f // (x.f + y.f) AS BIGINT) AS score
+    FROM phrases AS p JOIN range(1, {mining.LONGEST}) AS ks(k) ON k < len(w)
+    JOIN counts AS x ON x.lang = p.lang AND x.phrase = array_to_string(w[1 : k], ' ')
+    JOIN counts AS y ON y.lang = p.lang AND y.phrase = array_to_string(w[k + 1 :], ' ')),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+covers AS (
+    SELECT lang, part AS phrase, max(f) AS cover
+    FROM (SELECT lang, f, {_OF_LENGTH} AS part
+        FROM phrases JOIN range(2, {mining.LONGEST}) AS sizes(m) ON m < len(w))
+    GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, n, score
+FROM scored LEFT JOIN covers USING (lang, phrase) JOIN totals USING (lang)
+WHERE cover IS NULL OR CAST(cover AS HUGEINT) * 100 < CAST(a AS HUGEINT) * {mining.COVERED}
+QUALIFY rank <= {mining.MOST}"""
+
+
+ORACLE = {
+    "op1_mixing": OP1,
+    "op6_topk_search": OP6,
+    "op8_quality_rules": OP8,
+    "op11_ranked_search": OP11,
+    "op12_phrase_mining": OP12,
+}

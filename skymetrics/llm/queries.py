@@ -6,6 +6,7 @@ from skymetrics.llm.license_scan import op3_license_scan
 from skymetrics.llm.mixing import op1_mixing
 from skymetrics.llm.oracle import ORACLE
 from skymetrics.llm.packing import op2_best_fit_packing
+from skymetrics.llm.phrase_mining import op12_phrase_mining
 from skymetrics.llm.pitman_yor_lm import op9_pitman_yor_lm
 from skymetrics.llm.quality_classifier import op7_quality_classifier
 from skymetrics.llm.quality_rules import op8_quality_rules
@@ -30,6 +31,7 @@ QUERIES = {
         op9_pitman_yor_lm,
         op10_simhash_dedup,
         op11_ranked_search,
+        op12_phrase_mining,
         op13_cost_packing,
     )
 }
