@@ -41,8 +41,11 @@ COVERED = 80
 SCALE = 2_000_000
 
 BLOCK_BYTES = 8 << 20
-RANGE_WORDS = 2 << 20
-TASK_ENTRIES = 4 << 20
+# Words whose phrases are counted together, entries that a task holds, words in all to a range: these bound
+# a task's memory.
+STRETCH_WORDS = 1 << 18
+TASK_ENTRIES = 1 << 20
+RANGE_WORDS = 1 << 20
 BITMAP_BITS = 1 << 25
 
 # Fixed value: what ends a piece, as one sign; A-Z in lower case.
@@ -280,6 +283,12 @@ def _counting(words: int, width: int, range_bits: int, frequent):
         left, right = (half[whole] for half in packed(ids, words, width))
         return summed(*permuted(left, right, bits), np.ones(len(left), np.uint64), bits)
 
+    def stretches(block: bytes) -> Iterator[np.ndarray]:
+        # A phrase begins in one stretch only, and ends in it or behind it.
+        ids = np.frombuffer(block, "<u4")
+        for first in range(0, len(ids), STRETCH_WORDS):
+            yield ids[first : first + STRETCH_WORDS + words - 1]
+
     def rows(held) -> pa.RecordBatch:
         left, right, counts = held
         ranges = np.arange((1 << range_bits) + 1, dtype=np.uint64)
@@ -293,8 +302,8 @@ def _counting(words: int, width: int, range_bits: int, frequent):
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for block in batch["ids"]:
-                held.append(phrases(np.frombuffer(block.as_py(), "<u4")))
+            for ids in (ids for block in batch["ids"] for ids in stretches(block.as_py())):
+                held.append(phrases(ids))
                 size += len(held[-1][0])
                 if size > TASK_ENTRIES:
                     held = [merged(held, bits)]
