@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skymetrics.functions import great_circle_km
-from skymetrics.operators.zones import assign_zone
+from skymetrics.operators.zones import assign_by_tiles, assign_zone
 
 # The flight column that names the airport of each role.
 ROLE_CODES = {"origin": "airportOrigineCode", "destination": "airportDestinationCode"}
@@ -54,6 +54,11 @@ def zoned_airports(airports: DataFrame, zones: DataFrame) -> DataFrame:
     return assign_zone(airports, zones, "airportLat", "airportLong", "continent")
 
 
+def airports_by_tiles(airports: DataFrame, tiles: DataFrame) -> DataFrame:
+    """``zoned_airports`` for zones that are stored in tiles."""
+    return assign_by_tiles(airports, tiles, "airportLat", "airportLong", "continent")
+
+
 def with_geography(flights: DataFrame, airports: DataFrame, zones: DataFrame) -> DataFrame:
     """Both airports, both continents and the distance of each flight."""
     return with_distance(with_airports(flights, zoned_airports(airports, zones)))

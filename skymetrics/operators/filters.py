@@ -1,6 +1,6 @@
 """Row filters. Each takes and returns a DataFrame, so they chain with ``transform``."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skymetrics.functions import is_finite
@@ -10,19 +10,23 @@ IN_THE_AIR = "0"
 UNKNOWN_AIRLINES = ("N/A", "")
 
 
-def clean_flights(flights: DataFrame) -> DataFrame:
-    """Flights with a usable airline and both airports.
+def is_clean() -> Column:
+    """Whether a flight has a usable airline and both airports; null or false if not.
 
-    Nulls fail the comparisons and go as well. Blank but non-empty codes stay, and so do
-    airports called 'N/A'.
+    Blank but non-empty codes are usable, and so are airports called 'N/A'.
     """
-    return flights.filter(
+    return (
         ~F.col("airlineCode").isin(*UNKNOWN_AIRLINES)
         & (F.col("airportOrigineCode") != "")
         & (F.col("airportDestinationCode") != "")
     )
 
 
+def clean_flights(flights: DataFrame) -> DataFrame:
+    """Flights with a usable airline and both airports. Nulls fail the comparisons and go as well."""
+    return flights.filter(is_clean())
+
+
 def ongoing(flights: DataFrame) -> DataFrame:
     return flights.filter(F.col("flightStatus") == IN_THE_AIR)
 

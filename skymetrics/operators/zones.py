@@ -1,4 +1,9 @@
-"""Which zone a point lies in: the first zone, in ``zone_seq`` order, whose box holds it."""
+"""Which zone a point lies in: the first zone, in ``zone_seq`` order, whose box holds it.
+
+Zones and points meet by tile. ``zone_tiles`` cuts zones into tiles, which ``extract`` stores beside the zones,
+so that the size of their files is a true estimate; ``assign_by_tiles`` looks points up in them. No join
+is prescribed: few tiles are broadcast, many are merged.
+"""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -6,6 +11,7 @@ from pyspark.sql import functions as F
 from skymetrics.functions import in_box
 
 _CORNERS = ("tl_y", "tl_x", "br_y", "br_x")
+_TILE = ("level", "tile_y", "tile_x")
 
 # Tiles of level k are squares of 2**k degrees. A box is cut into tiles of the first level at which
 # it is at most _SPAN tiles high and wide, so it has few rows, and a tile holds boxes of its size
@@ -15,39 +21,53 @@ _SPAN = 4
 _EDGE = 1024.0
 
 
+def zone_tiles(zones: DataFrame) -> DataFrame:
+    """(level, tile_y, tile_x, zone_seq, continent, corners): each zone in every tile that it touches.
+
+    Zones need a ``zone_seq``; those without one are left out.
+    """
+    return (
+        _usable(zones)
+        .withColumn("level", _level())
+        .withColumn("tile_y", _tile_range("br_y", "tl_y"))
+        .withColumn("tile_x", _tile_range("tl_x", "br_x"))
+        .select(*_TILE, "zone_seq", "continent", *_CORNERS)
+    )
+
+
 def assign_zone(
     points: DataFrame, zones: DataFrame, lat: str, lon: str, name: str
+) -> DataFrame:
+    """``assign_by_tiles`` for zones whose tiles aren't stored.
+
+    Estimates do not see what cutting zones up adds. So tiles are dealt by place first: adaptive
+    execution then knows how many bytes they are before it picks the join.
+    """
+    return assign_by_tiles(points, zone_tiles(zones).repartition(*_TILE), lat, lon, name)
+
+
+def assign_by_tiles(
+    points: DataFrame, tiles: DataFrame, lat: str, lon: str, name: str
 ) -> DataFrame:
     """Adds column ``name``: the continent of each row's point, null outside every zone.
 
     Distinct points meet the zones of their tiles, so many rows in one place cost one lookup.
-    Zones need a ``zone_seq``; those without one are left out. Of zones with the same one, the
-    first by continent counts.
+    Of zones with the same ``zone_seq``, the first by continent counts.
     """
-    tiles = (
-        _usable(zones)
-        .withColumn("_level", _level())
-        .withColumn("_tile_y", _tile_range("br_y", "tl_y"))
-        .withColumn("_tile_x", _tile_range("tl_x", "br_x"))
-        # Size estimates do not see what explode() adds, so Spark might broadcast far more than it
-        # takes this to be, and adaptive execution would not undo it.
-        .hint("merge")
-    )
     spots = (
         points.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
         .dropna()  # null and NaN alike
         .distinct()
         .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1))))
-        .withColumn("_tile_y", _tile("_lat"))
-        .withColumn("_tile_x", _tile("_lon"))
-    )
-    corners = {corner: F.col(corner) for corner in _CORNERS}
-    found = (
-        spots.join(tiles, ["_level", "_tile_y", "_tile_x"])
-        .filter(in_box(F.col("_lat"), F.col("_lon"), corners))
-        .groupBy("_lat", "_lon")
-        .agg(F.min(F.struct("zone_seq", "continent"))["continent"].alias(name))
+        .withColumn("_tile_y", _tile("_lat", "_level"))
+        .withColumn("_tile_x", _tile("_lon", "_level"))
     )
+    meets = in_box(F.col("_lat"), F.col("_lon"), {corner: F.col(corner) for corner in _CORNERS})
+    for column in _TILE:
+        meets = (F.col(f"_{column}") == F.col(column)) & meets
+    zone = F.when(F.col("zone_seq").isNotNull(), F.struct("zone_seq", "continent"))
+    # A left join, as it can broadcast the tiles only: spots are ten times what estimates take them for.
+    found = spots.join(tiles, meets, "left").groupBy("_lat", "_lon").agg(F.min(zone)["continent"].alias(name))
     same_spot = (F.col(lat) == F.col("_lat")) & (F.col(lon) == F.col("_lon"))
     return points.join(found, same_spot, "left").drop("_lat", "_lon")
 
@@ -74,8 +94,8 @@ def _level() -> Column:
     return F.least(F.lit(_LEVELS - 1), F.ceil(F.log2(tiles)).cast("int"))
 
 
-def _tile(column: str) -> Column:
-    return F.floor(_within_edges(F.col(column)) / F.pow(F.lit(2.0), F.col("_level"))).cast("int")
+def _tile(column: str, level: str = "level") -> Column:
+    return F.floor(_within_edges(F.col(column)) / F.pow(F.lit(2.0), F.col(level))).cast("int")
 
 
 def _tile_range(low: str, high: str) -> Column:

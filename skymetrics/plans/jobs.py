@@ -7,13 +7,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymetrics.operators.enrich import zoned_airports
-from skymetrics.operators.filters import clean_flights
+from skymetrics.operators.enrich import airports_by_tiles
+from skymetrics.operators.filters import is_clean
+from skymetrics.operators.zones import zone_tiles
 from skymetrics.plans import kpis
-from skymetrics.plans.session import remove_folder, scratch_folder
+from skymetrics.schemas import REJECTED as REJECTS
 from skymetrics.schemas import RESULT_NAMES, STORED, TABLES
-from skymetrics.sources.landing import accepted, read_feed, rejected
-from skymetrics.sources.snapshots import latest_hour, read_snapshot, write_snapshot
+from skymetrics.sources.landing import landed_files, read_feed
+from skymetrics.sources.manifests import Staged, publish, staging
+from skymetrics.sources.snapshots import latest_hour, open_hour, read_snapshot, stage
 
 log = logging.getLogger("skymetrics")
 
@@ -30,40 +32,78 @@ QUESTIONS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 }
 
 
+def _stage_feed(spark: SparkSession, landing: str, table: str, folder: str) -> dict[str, Staged]:
+    """Types and cleans one feed, parsed once and written once: good records and rejects each to a
+    folder of their own, which is then only moved."""
+    typed = read_feed(spark, f"{landing.rstrip('/')}/{table}", table)
+    bad = F.col("reject_reason").isNotNull()
+    usable = is_clean() if table == "flights" else F.lit(True)
+    split = typed.where(bad | usable).select(
+        *[F.when(~bad, F.col(name)).alias(name) for name in TABLES[table].names],
+        F.when(bad, F.lit(table)).alias("feed"),
+        F.col("reject_reason").alias("reason"),
+        F.when(bad, F.col("record")).alias("record"),
+        bad.alias("is_rejected"),
+    )
+    split.write.partitionBy("is_rejected").parquet(f"{folder}/{table}")
+    return {
+        table: Staged(f"{folder}/{table}/is_rejected=false", TABLES[table]),
+        f"{REJECTED}_{table}": Staged(f"{folder}/{table}/is_rejected=true", REJECTS),
+    }
+
+
+def _read_staged(spark: SparkSession, staged: Staged) -> DataFrame:
+    # Of one of the two sides of a feed there may be nothing.
+    wanted = staged.folder.rpartition("/")
+    if not wanted[2].startswith("is_rejected="):
+        return spark.read.schema(staged.schema).parquet(staged.folder)
+    both = spark.read.schema(f"{staged.schema.toDDL()}, is_rejected boolean").parquet(wanted[0])
+    side = F.col("is_rejected") == (wanted[2] == "is_rejected=true")
+    return both.where(side).drop("is_rejected")
+
+
+def _count_rejects(spark: SparkSession, staged: dict[str, Staged], table: str) -> int:
+    n_bad = _read_staged(spark, staged[f"{REJECTED}_{table}"]).count()
+    if n_bad:
+        log.warning("%s: %d rejected records", table, n_bad)
+    return n_bad
+
+
 def ingest(spark: SparkSession, landing: str, store: str, table: str, at: datetime) -> int:
     """Types, cleans and stores one feed for the hour ``at``; returns how many records it rejected.
 
-    The feed is parsed once: typed records are set down split into good and rejected, and both
-    sides are stored from there. The hour's ``rejected_<table>`` is replaced on every run, so
-    a repaired feed leaves none behind.
+    The hour's ``rejected_<table>`` is replaced on every run, so a repaired feed leaves none behind.
     """
-    typed = read_feed(spark, f"{landing.rstrip('/')}/{table}", table)
-    staged = scratch_folder(spark, f"staged-{table}")
-    split = typed.withColumn("is_rejected", F.col("reject_reason").isNotNull())
-    split.write.partitionBy("is_rejected").parquet(staged)
-    both = spark.read.schema(split.schema).parquet(staged)
-    good = accepted(both.where(~F.col("is_rejected"))).drop("is_rejected")
-    bad = rejected(both.where("is_rejected"), table)
-    path = write_snapshot(clean_flights(good) if table == "flights" else good, store, table, at)
-    log.info("%s: stored in %s", table, path)
-    path = write_snapshot(bad, store, f"{REJECTED}_{table}", at)
-    n_bad = bad.count()
-    if n_bad:
-        log.warning("%s: %d rejected records stored in %s", table, n_bad, path)
-    remove_folder(spark, staged)
+    with staging(spark, store) as folder:
+        staged = _stage_feed(spark, landing, table, folder)
+        n_bad = _count_rejects(spark, staged, table)
+        paths = publish(spark, store, at, staged)
+    log.info("%s: stored in %s", table, paths[table])
     return n_bad
 
 
 def extract(spark: SparkSession, landing: str, store: str, at: datetime) -> dict[str, int]:
-    """Ingests all four feeds and stores the airports with their continents; returns the rejects
-    of each feed. A zone feed of which nothing can be read is an error, as no flight would have a
-    continent."""
-    rejects = {table: ingest(spark, landing, store, table, at) for table in TABLES}
-    zones = read_snapshot(spark, store, "zones", at, TABLES["zones"])
-    if rejects["zones"] and zones.isEmpty():
-        raise ValueError(f"no zone can be read: {rejects['zones']} rejected in {landing}/zones")
-    airports = read_snapshot(spark, store, "airports", at, TABLES["airports"])
-    write_snapshot(zoned_airports(airports, zones), store, "zoned_airports", at)
+    """Ingests all four feeds and stores the zones' tiles and the airports with their continents;
+    returns the rejects of each feed.
+
+    The hour gets all tables at once, or none: until the last one is written it stays as it was. A
+    zone feed that landed and gives no zone is an error, as no flight would have a continent.
+    """
+    with staging(spark, store) as folder:
+        staged: dict[str, Staged] = {}
+        for table in TABLES:
+            staged |= _stage_feed(spark, landing, table, folder)
+        rejects = {table: _count_rejects(spark, staged, table) for table in TABLES}
+        zones = _read_staged(spark, staged["zones"])
+        landed = landed_files(spark, f"{landing.rstrip('/')}/zones")
+        if landed and zones.isEmpty():
+            raise ValueError(f"no zone in {landed} files of {landing}/zones, {rejects['zones']} rejected")
+        staged["zone_tiles"] = stage(zone_tiles(zones), f"{folder}/zone_tiles")
+        airports = _read_staged(spark, staged["airports"])
+        zoned = airports_by_tiles(airports, _read_staged(spark, staged["zone_tiles"]))
+        staged["zoned_airports"] = stage(zoned, f"{folder}/zoned_airports")
+        publish(spark, store, at, staged)
+    log.info("hour %s: %s stored in %s", at, ", ".join(sorted(staged)), store)
     return rejects
 
 
@@ -89,21 +129,42 @@ def answer(
     """The plan of one question over the tables of one hour: ``at``, else the newest as of a time."""
     at = at or newest_hour(spark, store, [question], as_of)
     function, tables = QUESTIONS[question]
-    return function(*(read_snapshot(spark, store, t, at, STORED[t]) for t in tables))
+    hour = open_hour(spark, store, at)
+    return function(*(hour.read(table, STORED[table]) for table in tables))
 
 
-def run_kpi(spark: SparkSession, question: str, store: str, results: str, at: datetime) -> str:
-    """Answers one question for the hour ``at`` and stores the result as one file."""
-    result = answer(spark, question, store, at)
-    path = write_snapshot(result, results, RESULT_NAMES[question], at, files=1)
-    log.info("%s stored in %s", question, path)
-    return path
+def run_kpis(
+    spark: SparkSession, store: str, results: str, at: datetime, questions: Iterable[str] = tuple(QUESTIONS)
+) -> dict[str, str]:
+    """Answers questions for the hour ``at`` and stores each result as one file.
+
+    All are answered from one version of the hour, and their results appear together.
+    """
+    hour = open_hour(spark, store, at)
+    with staging(spark, results) as folder:
+        staged = {}
+        for question in questions:
+            function, tables = QUESTIONS[question]
+            result = function(*(hour.read(table, STORED[table]) for table in tables))
+            staged[RESULT_NAMES[question]] = stage(result, f"{folder}/{question}", files=1)
+        paths = publish(spark, results, at, staged)
+    for path in paths.values():
+        log.info("result stored in %s", path)
+    return {question: paths[RESULT_NAMES[question]] for question in questions}
 
 
-def run_kpis(spark: SparkSession, store: str, results: str, at: datetime) -> dict[str, str]:
-    return {question: run_kpi(spark, question, store, results, at) for question in QUESTIONS}
+def run_kpi(spark: SparkSession, question: str, store: str, results: str, at: datetime) -> str:
+    """Answers one question for the hour ``at`` and stores the result as one file."""
+    return run_kpis(spark, store, results, at, [question])[question]
 
 
-def read_result(spark: SparkSession, question: str, results: str, at: datetime) -> DataFrame:
-    """A stored result."""
-    return read_snapshot(spark, results, RESULT_NAMES[question], at)
+def read_result(
+    spark: SparkSession,
+    question: str,
+    results: str,
+    at: datetime | None = None,
+    as_of: datetime | None = None,
+) -> DataFrame:
+    """A stored result: of the hour ``at``, else the newest as of a time."""
+    name = RESULT_NAMES[question]
+    return read_snapshot(spark, results, name, at or latest_hour(spark, results, name, as_of))

@@ -3,6 +3,7 @@
 import atexit
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Adaptive execution picks broadcasts by measured size, merges small shuffle partitions and
@@ -15,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.files.maxPartitionBytes": "256MB",
+    # A task may write to a few folders at once instead of sorting its rows by folder first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 
@@ -46,12 +49,43 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 def file_system(spark: SparkSession, folder: str):
     """The file system of a folder, and its path there.
 
-    The one place that reaches into the JVM: Spark has no call to list or remove a folder.
+    Spark has no call to list, move or remove a folder, so this and the functions below reach into
+    the JVM; nothing else does.
     """
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
 
 
+def read_text(spark: SparkSession, file: str) -> str | None:
+    """A small file's text; None if it is not there."""
+    fs, path = file_system(spark, file)
+    if not fs.exists(path):
+        return None
+    try:
+        stream = fs.open(path)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileNotFoundException":
+            return None  # gone in between
+        raise
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, file: str, text: str) -> bool:
+    """Makes a small file at once, by moving it into place; False if there is one already."""
+    fs, path = file_system(spark, file)
+    passing = path.getParent().suffix(f"/.{uuid4().hex}")
+    stream = fs.create(passing, False)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    if not fs.exists(path) and fs.rename(passing, path):
+        return True
+    fs.delete(passing, False)
+    return False
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     fs, path = file_system(spark, folder)
     fs.delete(path, True)

@@ -46,7 +46,18 @@ ZONES = _struct(
 # The tables that land as feeds, and all that an hour of the store has.
 TABLES = {"flights": FLIGHTS, "airports": AIRPORTS, "airlines": AIRLINES, "zones": ZONES}
 ZONED_AIRPORTS = StructType([*AIRPORTS.fields, StructField("continent", _text)])
-STORED = {**TABLES, "zoned_airports": ZONED_AIRPORTS}
+ZONE_TILES = _struct(
+    level=_int,
+    tile_y=_int,
+    tile_x=_int,
+    zone_seq=_int,
+    continent=_text,
+    tl_y=_real,
+    tl_x=_real,
+    br_y=_real,
+    br_x=_real,
+)
+STORED = {**TABLES, "zone_tiles": ZONE_TILES, "zoned_airports": ZONED_AIRPORTS}
 
 # Field names of the raw feeds. Coordinates arrive as text.
 RAW_FLIGHT = _struct(

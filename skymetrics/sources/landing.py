@@ -18,15 +18,45 @@ _REJECT_COLUMNS = ("reject_reason", "record")
 MALFORMED = "malformed"
 _BLANK = r"^\s*$"
 
+# JSON as its standard has it. Spark by default takes texts in single quotes and NaN for a number too.
+_STRICT = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _BROKEN,
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
+
+# A JSON string; possessive, so that a long one does not exhaust the matcher's stack.
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+
+
+def _ends_early(text: Column) -> Column:
+    """Whether a JSON text's first value ends before its last bracket.
+
+    Strings are taken out, as what looks like a bracket there is none, and depth is counted over the
+    brackets that are left.
+    """
+    brackets = F.regexp_replace(F.regexp_replace(text, _STRING, ""), r"[^\[\]{}]++", "")
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(False).alias("early"))
+
+    def step(so_far: Column, bracket: Column) -> Column:
+        opens = F.when(bracket.isin("{", "["), 1).otherwise(-1)
+        return F.struct(
+            (so_far["depth"] + opens).alias("depth"),
+            F.lit(1).alias("seen"),
+            (so_far["early"] | ((so_far["depth"] <= 0) & (so_far["seen"] == 1))).alias("early"),
+        )
+
+    return F.aggregate(F.regexp_extract_all(brackets, F.lit("(.)")), start, step)["early"]
+
 
 def _parsed(text: Column, schema: DataType) -> Column:
     """Struct (_record, _fine): a JSON text as ``schema``, and whether all of it is one such value.
 
     ``from_json`` ignores what follows the first value. So the text is parsed as the only element
     of an array in an object with a last key: text behind the value then breaks the array, adds
-    elements to it, or hides the last key. Only a text that closes the array itself and goes on
-    with another key would pass, so the object's keys are counted where a text might. A text that
-    names the last key is refused.
+    elements to it, or hides the last key. Only a text that closes the array itself would pass. It has
+    a bracket for that behind its record, and where there is one, the record's end is looked for.
     """
     wrapped = F.concat(F.lit('{"_record":['), text, F.lit(f'],"{_END}":"0"}}'))
     fields = [
@@ -34,16 +64,13 @@ def _parsed(text: Column, schema: DataType) -> Column:
         StructField(_END, StringType()),
         StructField(_BROKEN, StringType()),
     ]
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
-    parsed = F.from_json(wrapped, StructType(fields), options)
-    closes = text.rlike(r'\]\s*,\s*"')
-    two_keys = F.when(closes, F.size(F.json_object_keys(wrapped)) == 2).otherwise(True)
-    ended = ~F.contains(text, F.lit(_END)) & two_keys
+    parsed = F.from_json(wrapped, StructType(fields), _STRICT)
+    one_value = ~F.when(text.rlike(r"\}\s*\]"), _ends_early(text)).otherwise(False)
 
     def judged(p: Column) -> Column:
         record = F.get(p["_record"], F.lit(0))
         single = (F.size(p["_record"]) == 1) & record.isNotNull() & p[_END].isNotNull()
-        whole = F.coalesce(p[_BROKEN].isNull() & single & ended, F.lit(False))
+        whole = F.coalesce(p[_BROKEN].isNull() & single & one_value, F.lit(False))
         return F.struct(record.alias("_record"), whole.alias("_fine"))
 
     return F.get(F.transform(F.array(parsed), judged), F.lit(0))
@@ -217,6 +244,11 @@ _LINE_FEEDS = {
 }
 
 
+def landed_files(spark: SparkSession, path: str) -> int:
+    """How many files a feed landed, blank ones too."""
+    return len(spark.read.format("binaryFile").load(path).inputFiles())
+
+
 def read_feed(spark: SparkSession, path: str, feed: str) -> DataFrame:
     """One landed feed, typed, with its rejects still in it."""
     if feed == "zones":

@@ -153,6 +153,16 @@ ODD_LINES = [
     '{"iata":"C"} ] , "_record":[{"iata":"D"}',
     '{"iata":"C"}]}',
     '{"iata":"C"}],"_end_of_record":"0"} more',
+    # Texts in single quotes, keys in disguise, records that end early in other ways.
+    '{"iata":"C"}],\'q\':[{"iata":"D"}',
+    '{"iata":"C"}],\'_record\':[{"iata":"D"}',
+    "{'iata':'C'}",
+    '{"iata":"C"}],"\\u005frecord":[{"iata":"D"}',
+    '{"iata":"C"}],"\\u005fend_of_record":[{"iata":"D"}',
+    '{"iata":"C"}],"\\u005fend_of_record":"0"} {"z":[1',
+    '{"iata":"C"}],"_end_of_record":"0"} "}',
+    '{"iata":"C"}],"q":[["}",{"iata":"D"}]',
+    '{"iata":"C","n":NaN}',
     "null",
     "[]",
     "4",
@@ -165,7 +175,16 @@ ODD_LINES = [
 
 
 def test_nothing_but_one_whole_record_is_accepted(spark, tmp_path):
-    good = ['{"iata":"A"}', ' \t{"iata":"B], \\"q"}  ', "{}", '{"name":"],\\"x"}']
+    good = [
+        '{"iata":"A"}',
+        ' \t{"iata":"B], \\"q"}  ',
+        "{}",
+        '{"name":"],\\"x"}',
+        '{"name":"L\'Aéroport d\'Orly"}',
+        '{"more":[{"a":1},{"b":[{"c":"}]"}]}]}',
+        '{"name":"_end_of_record"}',
+        json.dumps({"name": '}],"q":[{' + '\\"' * 30_000}),
+    ]
     typed = land(spark, tmp_path, [*good, *ODD_LINES, "\t", " \t ", ""], "airports")
     bad = landing.rejected(typed, "airports").collect()
     assert {r.reason for r in bad} == {"malformed"}
@@ -191,3 +210,56 @@ def test_every_line_is_accepted_or_rejected_once(spark, lines):
             return False
 
     assert good == sum(map(whole, lines))
+
+
+_TEXTS = st.text(st.sampled_from(list("ab'{}[],: é_") + ['"', "\\", "\t", "\n"]), max_size=8)
+_VALUES = st.recursive(
+    _TEXTS | st.integers(-9, 9) | st.none() | st.booleans(),
+    lambda inner: st.lists(inner, max_size=2) | st.dictionaries(_TEXTS, inner, max_size=2),
+    max_leaves=4,
+)
+_RECORDS = st.fixed_dictionaries({"iata": st.text("ABC'", min_size=1, max_size=3)}, optional={"more": _VALUES})
+_BETWEEN = st.sampled_from(["", " ", ",", "],", ']}', "],'q':[", '],"q":[', '],"_record":[', "],'_record':[",
+                            '],"\\u005fend_of_record":[', '],"_end_of_record":"0"} {"q":[', "'", '"', "]", "}", "["])
+_SINGLE = st.booleans()
+
+
+@given(st.lists(st.tuples(_RECORDS, st.lists(st.tuples(_BETWEEN, _RECORDS | _VALUES), max_size=2), _SINGLE), max_size=25))
+@settings(max_examples=20, deadline=None)
+def test_records_joined_by_any_json_text_are_whole_or_rejected(spark, joined):
+    """Each line is accepted with its own value or rejected with its own text."""
+    lines = []
+    for record, rest, single in joined:
+        line = json.dumps(record) + "".join(between + json.dumps(value) for between, value in rest)
+        lines.append(line.replace('"', "'") if single and rest else line)
+    typed = landing.airports_from_lines(spark.createDataFrame([(line,) for line in lines], "value string"))
+
+    def value(line):
+        try:
+            read = json.loads(line)
+        except ValueError:
+            return None
+        return read if isinstance(read, dict) else None
+
+    want = [value(line) for line in lines]
+    got = sorted(r.airportID for r in landing.accepted(typed).collect())
+    assert got == sorted(v["iata"] for v in want if v is not None)
+    bad = sorted(r.record for r in landing.rejected(typed, "airports").collect())
+    assert bad == sorted(line for line, v in zip(lines, want) if v is None)
+
+
+def test_zone_documents_in_other_than_json_are_rejected(spark, tmp_path):
+    corners = '{"tl_y":1,"tl_x":0,"br_y":0,"br_x":1}'
+    documents = [
+        f"{{'a':{corners}}}",
+        f'{{"a":{corners}}}],\'_record\':[{{"b":{corners}}}',
+        f'{{"a":{corners}}}],"\\u005fend_of_record":"0"}} {{"z":[1',
+    ]
+    for i, text in enumerate(documents):
+        folder = tmp_path / str(i)
+        folder.mkdir()
+        typed = land(spark, folder, [text], "zones")
+        assert landing.accepted(typed).isEmpty()
+        assert tuples(landing.rejected(typed, "zones")) == [("zones", "malformed", text)]
+    good = land(spark, tmp_path, [f'{{"it\'s":{corners}}}'], "zones")
+    assert [r.continent for r in landing.accepted(good).collect()] == ["it's"]

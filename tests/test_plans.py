@@ -2,15 +2,17 @@
 
 import re
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+import skymetrics
 from checks.registry import QUERIES
 from checks import derived
 from skymetrics.operators import counts, enrich, filters
 from skymetrics.operators.ranking import largest_first, top_n
-from skymetrics.operators.zones import assign_zone
+from skymetrics.operators.zones import assign_by_tiles, assign_zone, zone_tiles
 from skymetrics.plans.jobs import QUESTIONS, answer, ingest
 from skymetrics.schemas import TABLES
 from skymetrics.sources.landing import accepted, read_feed
@@ -141,8 +143,8 @@ def test_a_feed_with_rejects_is_scanned_once(spark, tmp_path):
     ]
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(reads) == 1
-    # Split, good side, rejected side, and the count of rejects, which reads the split again.
-    assert sum("parquet" in name for name in names) == 3
+    # Both sides are written at once and then moved; rejects are counted from what was written.
+    assert sum("parquet" in name for name in names) == 1 and sum("count" in name for name in names) <= 2
 
 
 def hot_star(spark, store):
@@ -176,19 +178,39 @@ def test_hot_airports_are_split_when_the_dimension_is_too_large_to_broadcast(spa
     assert split.count() == 300_000 and split.exceptAll(want).isEmpty()
 
 
-def test_tiles_are_never_broadcast(spark, conf):
-    # Strips from pole to pole: estimated at a few kilobytes, some twenty tiles each.
-    conf("spark.sql.autoBroadcastJoinThreshold", "200KB")
-    boxes = spark.range(600).selectExpr(
+def strips(spark, n):
+    """Zones from pole to pole, side by side, some twenty tiles each."""
+    width = 360 / n
+    return spark.range(n).selectExpr(
         "cast(id as int) zone_seq", "concat('z', id) continent", "'s' subzone",
-        "90e0 tl_y", "id * 0.6e0 - 180 tl_x", "-90e0 br_y", "id * 0.6e0 - 179.4e0 br_x",
+        "90e0 tl_y", f"id * {width}e0 - 180 tl_x", "-90e0 br_y", f"(id + 0.5e0) * {width}e0 - 180 br_x",
     )
-    points = spark.range(20_000).selectExpr("id / 150e0 - 70e0 lat", "id % 359 - 179.5e0 lon")
-    zoned = assign_zone(points, boxes, "lat", "lon", "zone")
-    joins = re.findall(r"(\w+Join)(?:\(skew=true\))? \[_level#", final_plan(zoned))
-    assert joins == ["SortMergeJoin"]
-    strip = F.concat(F.lit("z"), F.ceil((F.col("lon") + 179.4) / 0.6).cast("int"))
-    assert zoned.filter("zone IS NULL").isEmpty() and zoned.filter(F.col("zone") != strip).isEmpty()
+
+
+@pytest.mark.parametrize("stored", [False, True], ids=["cut in the plan", "stored"])
+@pytest.mark.parametrize("n, join", [(9, "BroadcastHashJoin"), (100_000, "SortMergeJoin")])
+def test_the_size_of_the_tiles_decides_their_join(spark, tmp_path, conf, stored, n, join):
+    # The many are too large as tiles, the points on either side of the join always.
+    conf("spark.sql.autoBroadcastJoinThreshold", "1MB")
+    points = spark.range(40_000).selectExpr("id / 300e0 - 70e0 lat", "id % 359 - 179.5e0 lon")
+    zones = strips(spark, n)
+    if stored:
+        zone_tiles(zones).write.parquet(f"{tmp_path}/tiles")
+        tiles = spark.read.parquet(f"{tmp_path}/tiles")
+        zoned = assign_by_tiles(points, tiles, "lat", "lon", "zone")
+    else:
+        zoned = assign_zone(points, zones, "lat", "lon", "zone")
+    joins = re.findall(r"(\w+Join)(?:\(skew=true\))? \[_(?:level|tile_[xy])#", final_plan(zoned))
+    assert joins == [join]
+    place = (F.col("lon") + 180) / (360 / n)
+    strip = F.when(place - F.floor(place) <= 0.5, F.concat(F.lit("z"), F.floor(place).cast("int")))
+    edge = F.abs(F.abs(place * 2 - F.round(place * 2))) < 1e-6
+    assert zoned.filter(~edge & ~F.col("zone").eqNullSafe(strip)).isEmpty()
+
+
+def test_no_join_is_prescribed():
+    for path in Path(skymetrics.__file__).parent.glob("[!l]*/**/*.py"):
+        assert not re.search(r"hint\(\"(?!rebalance)|broadcast\(", path.read_text()), path
 
 
 def test_a_hot_airline_is_combined_before_it_moves(spark, store):

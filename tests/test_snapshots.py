@@ -1,11 +1,15 @@
+import shutil
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from skymetrics.schemas import FLIGHTS
+from skymetrics.sources import manifests
 from skymetrics.sources.snapshots import (
     latest_hour,
+    open_hour,
     read_latest,
     read_snapshot,
     snapshot_path,
@@ -154,3 +158,88 @@ def test_a_half_written_hour_is_an_error(spark, tmp_path, schema):
         read_snapshot(spark, root, "flights", datetime(2024, 3, 5, 7), schema)
     write_snapshot(spark.createDataFrame([], FLIGHTS), root, "flights", datetime(2024, 3, 5, 8))
     assert read_snapshot(spark, root, "flights", datetime(2024, 3, 5, 8), schema).isEmpty()
+
+
+@pytest.mark.parametrize("schema", [None, FLIGHTS], ids=["inferred", "given"])
+def test_an_hour_with_some_of_its_files_is_an_error(spark, tmp_path, schema):
+    root, many = str(tmp_path), flights(spark, *[ROW] * 40).repartition(4)
+    path = write_snapshot(many, root, "flights", AT)
+    assert read_snapshot(spark, root, "flights", AT, schema).count() == 40
+    lost = sorted(Path(path).glob("part-*"))[1]
+    lost.unlink()
+    with pytest.raises(FileNotFoundError, match="1 of 4 files"):
+        read_snapshot(spark, root, "flights", AT, schema)
+    shutil.rmtree(path)
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, root, "flights", AT, schema)
+
+
+@pytest.mark.parametrize("schema", [None, FLIGHTS], ids=["inferred", "given"])
+def test_an_hour_that_only_spark_wrote_needs_its_mark(spark, tmp_path, schema):
+    root, path = str(tmp_path), snapshot_path(str(tmp_path), "flights", AT)
+    flights(spark, *[ROW] * 40).repartition(4).write.parquet(path)
+    assert read_snapshot(spark, root, "flights", AT, schema).count() == 40
+    assert latest_hour(spark, root, "flights") == AT.replace(minute=0)
+    (Path(path) / "_SUCCESS").unlink()
+    with pytest.raises(FileNotFoundError, match="finished"):
+        read_snapshot(spark, root, "flights", AT, schema)
+    with pytest.raises(FileNotFoundError):
+        latest_hour(spark, root, "flights")
+    # A write makes it an hour again.
+    write_snapshot(flights(spark, ROW), root, "flights", AT)
+    assert read_snapshot(spark, root, "flights", AT, schema).count() == spark.read.parquet(path).count() == 1
+
+
+def test_hours_of_a_dynamic_write_need_their_files_too(spark, tmp_path):
+    root, hour = str(tmp_path), datetime(2024, 1, 1, 1)
+    write_snapshots(events(spark, [(1, hour), (2, hour.replace(hour=2))]), root, "events", F.col("ts"))
+    for file in Path(snapshot_path(root, "events", hour)).glob("part-*"):
+        file.unlink()
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, root, "events", hour)
+    assert read_snapshot(spark, root, "events", hour.replace(hour=2)).count() == 1
+
+
+def test_a_write_that_fails_leaves_the_old_hour(spark, tmp_path):
+    root = str(tmp_path)
+    write_snapshot(flights(spark, ROW, ROW), root, "flights", AT)
+    fails = flights(spark, *[ROW] * 8).repartition(4).withColumn(
+        "flightStatus", F.when(F.spark_partition_id() == 3, F.raise_error(F.lit("lost"))).otherwise("0")
+    )
+    with pytest.raises(Exception, match="lost"):
+        write_snapshot(fails, root, "flights", AT)
+    assert read_snapshot(spark, root, "flights", AT).count() == 2
+    assert not list((tmp_path / "_staged").iterdir())
+
+
+def test_files_of_a_dead_run_are_not_read_and_go_with_the_next(spark, tmp_path):
+    root = str(tmp_path)
+    path = write_snapshot(flights(spark, ROW, ROW), root, "flights", AT)
+    flights(spark, *[ROW] * 5).write.mode("append").parquet(path)
+    assert read_snapshot(spark, root, "flights", AT).count() == 2
+    assert read_snapshot(spark, root, "flights", AT, FLIGHTS).count() == 2
+    write_snapshot(flights(spark, ROW), root, "flights", AT)
+    assert spark.read.parquet(path).count() == read_snapshot(spark, root, "flights", AT).count() == 1
+
+
+def test_of_two_runs_one_says_that_the_other_was_first(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    whole = manifests._write_manifest
+
+    def overtaken(*args):
+        monkeypatch.setattr(manifests, "_write_manifest", whole)
+        write_snapshot(flights(spark, ROW, ROW), root, "flights", AT)
+        return whole(*args)
+
+    monkeypatch.setattr(manifests, "_write_manifest", overtaken)
+    with pytest.raises(FileExistsError, match="another run"):
+        write_snapshot(flights(spark, ROW), root, "flights", AT)
+
+
+def test_an_hour_keeps_its_other_tables(spark, tmp_path):
+    root = str(tmp_path)
+    write_snapshot(flights(spark, ROW), root, "flights", AT)
+    write_snapshot(flights(spark, ROW, ROW), root, "other", AT)
+    hour = open_hour(spark, root, AT)
+    assert [hour.read(t).count() for t in ("flights", "other")] == [1, 2]
+    assert len(list((tmp_path / "_hours").rglob("*.json"))) == 1
