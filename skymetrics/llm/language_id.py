@@ -3,24 +3,27 @@
 A word that was not learnt is judged by its character n-grams, the longest that are known: those
 of five characters, else of four, and so on. Words are runs of letters, in lower case.
 
-The tables are fitted on a bounded sample of labelled documents. Null texts and texts without a
-letter are ``und`` with score 0; so is every text if nothing was learnt. Repeated rows are judged
-alike. Ties go to the language with more sampled documents, then to the first by code point.
+The tables are fitted on a bounded sample of the labelled documents of each language, so a rare one is
+learnt as well as a frequent one; how frequent each is counts over all labelled documents. Null texts
+and texts without a letter are ``und`` with score 0; so is every text if nothing was learnt, as from an
+empty table. Very long texts are judged whole. Repeated rows are judged alike. Ties go to the language with
+more labelled documents, then to the first by code point. Only ``doc_id``, ``text`` and ``lang`` are read, so
+further columns may have any name.
 """
 
 import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from skymetrics.llm.common import documents, fold_is, small_batches
+from skymetrics.operators.ranking import top_n
 
-# Bounds of the fitting sample, by hash of the id, and of the word table of each language.
-TRAIN_DOCUMENTS = 6000
-WORDS_PER_LANGUAGE = 30_000
+# Bound of the fitting sample of each language, by hash of the id.
+TRAIN_DOCUMENTS = 600
 LONGEST_GRAM = 5
 UNKNOWN = "und"
 
@@ -43,31 +46,20 @@ def _log_shares(counts: dict[str, np.ndarray], prior: float) -> tuple[dict[str,
 def learn(docs: DataFrame):
     """(languages, log prior, words, n-grams by length) of the labelled rows of ``docs``."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    picked = (
-        labelled.where(F.col("doc_id").isNotNull())
-        .select("doc_id")
-        .distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(TRAIN_DOCUMENTS)
-    )
-    # At most TRAIN_DOCUMENTS ids.
-    sample = labelled.select("doc_id", "lang", "text").join(F.broadcast(picked), "doc_id", "semi")
-    sizes = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
+    named = labelled.where(F.col("doc_id").isNotNull())
+    # One row for each language.
+    sizes = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}
     if not sizes:
         return None
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    picked = top_n(named.select("lang", "doc_id").distinct(), order, n=TRAIN_DOCUMENTS, per=["lang"])
+    sample = named.select("doc_id", "lang", "text").join(picked, ["lang", "doc_id"], "semi")
     languages = sorted(sizes, key=lambda name: (-sizes[name], name))
     words = sample.select(
         "lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("word")
     )
-    counted = words.groupBy("lang", "word").count()
-    ranked = counted.withColumn(
-        "rank",
-        F.row_number().over(
-            # One row for each word of the sample, which is bounded.
-            Window.partitionBy("lang").orderBy(F.desc("count"), "word")
-        ),
-    )
-    table = ranked.where(F.col("rank") <= WORDS_PER_LANGUAGE).toPandas()
+    # One row for each word of the sample, which is bounded.
+    table = words.groupBy("lang", "word").count().toPandas()
     by_word: dict[str, np.ndarray] = {}
     grams: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST_GRAM + 1)]
     place = {name: i for i, name in enumerate(languages)}

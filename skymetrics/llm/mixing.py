@@ -5,8 +5,14 @@ documents in the order of exponential keys: -ln(u) / w, u uniform by hash of the
 document's quality weight, so that a document of twice the weight is twice as likely to be next
 (Efraimidis and Spirakis). A running sum in that order is cut at the budget.
 
-Sources rank by code point, null last, and are a source like any other. Null texts have no words.
-Repeated rows have equal keys and are taken one after the other. No rows give no rows.
+Running sums are taken over stretches of keys of about the same number of documents, whatever their
+weights: stretches are cut by how many documents of each class of weights are expected up to a key. So
+no task holds a source.
+
+Sources rank by code point, null last, and are a source like any other. Null texts have no words. A null
+id draws by its text, so rows without ids are spread as well. Very long texts count whole. Repeated
+rows have equal keys and are taken one after the other. No rows give no rows. Only ``doc_id``, ``text`` and
+``source`` are read, so further columns may have any name.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -63,15 +69,35 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def _key(doc_id: str, weight: str) -> Column:
-    """Exponential key: the smaller, the earlier a document is taken."""
-    digits = F.substring(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))), 1, 13)
-    u = (F.conv(digits, 16, 10).cast("bigint") + 1) / F.lit(float(2**52 + 1))
-    return -F.ln(u) / F.col(weight)
+def drawn(seed: Column) -> Column:
+    """A number from 0 to 1 by hash of a text."""
+    digits = F.substring(F.md5(F.concat(F.lit("mix:"), seed)), 1, 13)
+    return (F.conv(digits, 16, 10).cast("bigint") + 1) / F.lit(float(2**52 + 1))
+
+
+def _expected(keyed: DataFrame) -> DataFrame:
+    """(name, classes): how many documents of each class of weights a source has, and their mean weight.
+
+    A class is a quarter of a doubling, so a source has a few dozen.
+    """
+    counted = keyed.groupBy("source", F.round(4 * F.log2("weight")).alias("class")).agg(
+        F.count("*").alias("n"), F.avg("weight").alias("weight")
+    )
+    classes = F.collect_list(F.struct("n", "weight")).alias("classes")
+    return counted.groupBy(F.col("source").alias("name")).agg(classes)
+
+
+def _stretch(key: Column) -> Column:
+    """Number of the stretch of a key: of all documents of its source, how many are expected before it."""
+    before = F.aggregate(
+        "classes", F.lit(0.0), lambda sum_, c: sum_ + c["n"] * (1 - F.exp(-key * c["weight"]))
+    )
+    return F.floor(before / STRETCH)
 
 
 def mix(sized: DataFrame, whole: bool = False) -> DataFrame:
-    """(doc_id, mark, size, source_size, target, taken, ...) from (doc_id, mark, source, size, weight).
+    """(doc_id, mark, size, source_size, target, taken, ...) from (doc_id, mark, source, size, weight,
+    draw).
 
     ``whole`` takes the document at the edge of a budget once more or not at all, whichever is
     nearer to the target; otherwise as many of its words as are missing.
@@ -83,10 +109,9 @@ def mix(sized: DataFrame, whole: bool = False) -> DataFrame:
         "target",
         F.coalesce(F.floor(F.col("target") / F.nullif("source_size", F.lit(0))), F.lit(0)).alias("passes"),
     ).withColumn("budget", F.round(F.col("target")).cast("long") - F.col("passes") * F.col("source_size"))
-    keyed = sized.withColumn("key", _key("doc_id", "weight"))
-    # Stretches cut the range of keys into parts of like size, so that no window holds a source.
-    n = max(1, sized.count() // STRETCH)
-    keyed = keyed.withColumn("stretch", F.floor((1 - F.exp(-F.col("key"))) * n))
+    keyed = sized.withColumn("key", -F.ln("draw") / F.col("weight"))
+    known = F.col("source").eqNullSafe(F.col("name"))
+    keyed = keyed.join(_expected(sized), known).withColumn("stretch", _stretch(F.col("key"))).drop("name", "classes")
     at = [F.col("source"), F.col("stretch")]
     within = Window.partitionBy(*at).orderBy("key", F.col("doc_id").asc_nulls_last(), "size", "mark")
     rows = within.rowsBetween(Window.unboundedPreceding, -1)
@@ -119,7 +144,7 @@ def mix(sized: DataFrame, whole: bool = False) -> DataFrame:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, source, size, weight) of documents, stored; texts of one id differ in mark."""
+    """(doc_id, mark, source, size, weight, draw) of documents, stored; texts of one id differ in mark."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     return stored(
         docs.select(
@@ -128,6 +153,7 @@ def sized(docs: DataFrame) -> DataFrame:
             "source",
             size.alias("size"),
             quality_weight(F.col("text")).alias("weight"),
+            drawn(F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))).alias("draw"),
         ),
         "sized",
     )

@@ -19,6 +19,7 @@ _WEIGHTS = ", ".join(map(str, mixing.WEIGHTS))
 OP1 = f"""
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size,
+        coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, ''))) AS seed,
         coalesce(1.1e0 - length(regexp_replace(text, '{mixing.LETTERS}', '', 'g'))
             / CAST(greatest(length(text), 1) AS DOUBLE), 0.1e0) AS weight
     FROM documents),
@@ -43,7 +44,7 @@ targets AS (
 plans AS (
     SELECT *, coalesce(floor(target / nullif(source_size, 0)), 0) AS passes FROM targets),
 keyed AS (
-    SELECT *, -ln((CAST(concat('0x', substr(md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), ''))), 1, 13))
+    SELECT *, -ln((CAST(concat('0x', substr(md5(concat('mix:', seed)), 1, 13))
         AS BIGINT) + 1) / 4503599627370497e0) / weight AS key
     FROM sized),
 running AS (

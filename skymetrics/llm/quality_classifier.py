@@ -5,8 +5,9 @@ neighbours; they are counts over bytes and words, taken for many documents at on
 fitted on documents with a quality label, all lines of which take the label. A document's score is
 the mean probability of its lines being good, by forward-backward, each line weighted by length.
 
-Null and empty texts are one empty line. Without labels of both kinds every score is 0.5.
-Repeated rows are scored alike; labels of a repeated id must agree or the larger one counts.
+Null and empty texts are one empty line. Without labels of both kinds every score is 0.5; an empty table
+gives no rows. Very long texts are scored whole. Repeated rows are scored alike; labels of a repeated id
+must agree or the larger one counts. Only ``doc_id`` and ``text`` are read, so further columns may have any name.
 """
 
 from dataclasses import dataclass
@@ -18,12 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from skymetrics.llm.common import chunks, documents, fold_is, small_batches, text_bytes
+from skymetrics.operators.ranking import top_n
 
-# Bounds of the fitting sample: labelled documents, taken by hash of their id, and lines of each
-# stretch that is fitted as one chain.
-TRAIN_DOCUMENTS = 4000
+# Bounds of the fitting sample of each label value: documents, by hash of their id, and stretches of lines
+# that are fitted as one chain each, by hash of their features.
+TRAIN_DOCUMENTS = 2000
 STRETCH = 64
-MAX_STRETCHES = 12000
+MAX_STRETCHES = 3000
 
 # Classes of bytes; each is a feature as a share of the line's bytes.
 _CLASSES = (
@@ -229,19 +231,18 @@ def learn(docs: DataFrame, labels: DataFrame) -> Field | None:
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.max(F.col("quality").cast("int")).alias("quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(TRAIN_DOCUMENTS)
     )
-    rows = (
+    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
+    picked = top_n(picked, by_hash, n=TRAIN_DOCUMENTS, per=["quality"])
+    lines = (
         docs.select("doc_id", "text")
-        # At most TRAIN_DOCUMENTS pairs of an id and a label.
+        # At most TRAIN_DOCUMENTS pairs of an id and each of the two labels.
         .join(F.broadcast(picked), "doc_id")
         .select("text", "quality")
         .mapInArrow(_stretches, "features binary, quality int")
-        .orderBy(F.xxhash64("features"))
-        .limit(MAX_STRETCHES)
-        .toPandas()
     )
+    rows = top_n(lines, [F.xxhash64("features")], n=MAX_STRETCHES, per=["quality"]).toPandas()
+    rows = rows.sort_values(["quality", "features"], kind="stable", ignore_index=True)
     if rows["quality"].nunique() < 2:
         return None
     parts = [np.frombuffer(b, np.float32).reshape(-1, N_FEATURES) for b in rows["features"]]

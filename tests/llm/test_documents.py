@@ -170,7 +170,7 @@ def test_targets_and_takes(spark):
 def test_heavier_documents_come_first_more_often(spark, monkeypatch):
     sized = spark.range(6000).selectExpr(
         "id as doc_id", "id as mark", "if(id % 3 = 0, 'a', 'b') as source", "10L as size", "if(id % 2 = 0, 1.0, 0.25) as weight"
-    )
+    ).withColumn("draw", mixing.drawn(F.col("doc_id").cast("string")))
     whole = mixing.mix(sized).collect()
     monkeypatch.setattr(mixing, "STRETCH", 200)
     assert sorted(map(str, mixing.mix(sized).collect())) == sorted(map(str, whole))
