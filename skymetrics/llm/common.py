@@ -7,7 +7,7 @@ from types import ModuleType
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skymetrics.plans.session import scratch_folder
@@ -49,6 +49,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with numbers ``id`` from 1 without gaps, in no special order, stored."""
+    placed = stored(rows.withColumn("row", F.monotonically_increasing_id()), f"{name}-rows")
+    part, place = F.shiftrightunsigned("row", 33), F.col("row").bitwiseAND(F.lit((1 << 33) - 1))
+    # A row for each partition, so the running sum is one of few rows.
+    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    joined = placed.withColumn("part", part).join(firsts, "part")
+    return stored(joined.withColumn("id", F.col("first") + place + 1).drop("part", "first", "row"), name)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     while name in df.columns:

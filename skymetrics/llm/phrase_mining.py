@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skymetrics.llm.common import documents, small_batches
+from skymetrics.llm.common import documents, numbered, small_batches
 from skymetrics.llm.common import stored as _stored
 from skymetrics.operators.ranking import top_n
 
@@ -100,18 +100,6 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def _numbered(words: DataFrame) -> DataFrame:
-    """``words`` with numbers ``id`` from 1 without gaps, whatever their order."""
-    rows = stored(words.withColumn("row", F.monotonically_increasing_id()), "vocabulary")
-    # A row for each partition, so the running sum is one of few rows.
-    sizes = rows.groupBy(F.shiftrightunsigned("row", 33).alias("part")).agg(F.count("*").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    part, place = F.shiftrightunsigned("row", 33), F.col("row").bitwiseAND(F.lit((1 << 33) - 1))
-    placed = rows.withColumn("part", part).join(firsts, "part")
-    return placed.withColumn("id", F.col("first") + place + 1).drop("part", "first", "row")
-
-
 def _coded(block: pa.Table, ids: pa.Table) -> pa.Table:
     """A block's words as numbers of the whole corpus; 0 for piece ends and seldom words."""
     found = []
@@ -363,7 +351,7 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST
     entries = blocks.select(of, "lang", F.posexplode(F.arrays_zip("words", "uses")).alias("at", "entry"))
     entries = entries.select("of", "lang", "at", F.col("entry.words").alias("word"), F.col("entry.uses").alias("uses"))
     counts = entries.groupBy("lang", "word").agg(F.sum("uses").alias("f"))
-    words = stored(_numbered(counts.where(F.col("f") >= least)), "words")
+    words = numbered(counts.where(F.col("f") >= least), "phrases-words")
     sums = blocks.select("lang", F.aggregate("uses", F.lit(0).cast("long"), lambda a, n: a + n).alias("n"))
     totals = stored(sums.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     n_known, n_words = words.count(), totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -1,40 +1,46 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-The vocabulary is one Chinese restaurant: each word of the training text is a customer at a table
-that serves the word, and every table is a draw from a base distribution that spells words. The
-speller is a hierarchy of restaurants too, one for each context of up to three characters, and a
-context's parent is the context without its oldest character: a table of a restaurant is a customer
-of its parent. So the model spreads what it keeps for new tables over words by their spelling.
+Restaurants form a tree. After each word of the training text there is one for the words that follow it
+(``word_contexts``); a table there is a customer of the words' own restaurant, the parent of all. A table
+of that one is a draw from a base distribution that spells words. The speller is a hierarchy of
+restaurants too, one for each context of up to three characters, and a context's parent is the context
+without its oldest character. So a word is judged by the word before it, then by itself, then by its
+spelling, each as far as the level before has not seen it.
 
 Like the base score, the model tells training words from each other and from words that are none of
 them, which are one event: its probability is that of a new table with a spelling that is not a
-training word's. Probabilities of training words and of that event sum to one.
+training word's. Probabilities of training words and of that event sum to one after every word.
 
-Seating is sampled by Gibbs sweeps that alternate between the two levels, given each other:
+Seating is sampled level by level, given the others, a dish's customers at a time (``seating``):
 
-* the words' tables on Spark, each word apart given the totals of the last sweep. Uniform numbers
-  are a hash of the word and the sweep, so a task that is run again seats it alike;
+* the tables after each word, given the words' shares of the text, twice over;
+* the words' tables in sweeps that alternate with the speller's, each word apart given the totals of the
+  last sweep. Uniform numbers are a hash of the word and the sweep, so a task that is run again
+  seats it alike;
 * the speller's tables over counts per context and character. Contexts are made of 32 classes of
   bytes, so there are at most 32**3 * 256 counts however large the corpus is: that bound is what
-  lets them be summed at the driver and broadcast.
+  lets them be summed at the driver and broadcast. Everything else grows with the corpus and stays
+  distributed.
 
-A word's probability is the mean over the sampled sweeps of its predictive probability.
+A probability is the mean over the sampled seatings of its predictive probability.
 
-Counts cover all training documents. Words are counted per block of documents (see ``blocks``), so a
-frequent word is a row for each block only. Null and empty texts are an end only. An empty table, or
-one without training documents, scores by the uniform base. Repeated rows count each.
+Counts cover all training documents. Pairs of words travel as numbers, once for each block of documents
+that has them. Null and empty texts are an end only; very long ones are scored whole. An empty table gives
+no rows; one without training documents scores by the uniform base. Repeated rows count each. Ties do
+not arise. Only ``doc_id`` and ``text`` are read, so further columns may have any name.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymetrics.llm import blocks
-from skymetrics.llm.blocks import numbers
-from skymetrics.llm.common import documents, fold_is, stored
+from skymetrics.llm import blocks, word_contexts
+from skymetrics.llm.common import documents, fold_is, numbered, stored
+from skymetrics.llm.seating import seat
 
 END = b""  # the end of a text, a token that no word equals
 
@@ -77,35 +83,6 @@ def spelling(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return context * 256 + steps, word
 
 
-def _mixed(bits: np.ndarray) -> np.ndarray:
-    """Numbers from 0 to 1 by a hash of 64-bit numbers."""
-    bits = (bits ^ (bits >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    bits = (bits ^ (bits >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((bits ^ (bits >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53)
-
-
-def seat(customers: np.ndarray, base: np.ndarray, tables, discount, strength, key: np.ndarray) -> np.ndarray:
-    """Tables of each dish once its customers sat down one by one.
-
-    A customer takes a new table with odds of (strength + discount * tables of the restaurant) *
-    base against those seated less their tables' discounts. The first sixteen sit down singly,
-    then in groups that double, with as many new tables as expected, rounded at random.
-    """
-    seated = (customers > 0).astype(np.int64)
-    pull = (strength + discount * tables) * base
-    first, group = 1, 1
-    while True:
-        left = np.flatnonzero(customers > first)
-        if not len(left):
-            return seated
-        size = np.minimum(group, customers[left] - first)
-        mass = first + (size - 1) / 2 - discount * seated[left]
-        rate = pull[left] / (pull[left] + np.maximum(mass, 1e-9))
-        luck = _mixed(key[left] + np.uint64((first * 0x9E3779B97F4A7C15) & (1 << 64) - 1))
-        seated[left] += np.minimum(size, np.floor(size * rate + luck).astype(np.int64))
-        first, group = first + group, group if first < 16 else group * 2
-
-
 # Cells and what those seated there give them; what each context passes on to its parent.
 State = tuple[np.ndarray, np.ndarray, np.ndarray]
 
@@ -130,8 +107,8 @@ class Restaurants:
     def seat(self, above: np.ndarray, rng: np.random.Generator) -> None:
         base = above.ravel()[self.cells % above.size].astype(float)
         key = rng.integers(0, 1 << 63, len(self.cells)).astype(np.uint64)
-        total = self.sums(self.tables)[self.context]
-        self.tables = seat(self.customers, base, total, self.discount, self.strength, key)
+        others = self.sums(self.tables)[self.context] - self.tables
+        self.tables = seat(self.customers, base, others, self.discount, self.strength, key)
 
     def state(self) -> State:
         """What the seated give to each cell, and each context to its parent."""
@@ -261,17 +238,18 @@ def _valued(samples: list[tuple], discount: float, total: int):
                 known = np.maximum(counts - discount * seated, 0)
                 mean = mean + (known + (STRENGTH + discount * tables) * base) / (STRENGTH + total)
             value = np.log10(np.maximum(mean / len(samples), 1e-300))
-            yield pa.RecordBatch.from_arrays([batch["word"], batch["c"], pa.array(value)], ["word", "c", "value"])
+            kept = [name for name in batch.schema.names if name != "hash"]
+            yield pa.RecordBatch.from_arrays([*(batch[name] for name in kept), pa.array(value)], [*kept, "value"])
 
     return step
 
 
 def word_values(vocabulary: DataFrame, total: int) -> DataFrame:
-    """(word, c, value): log10 probability of each word of (word, c), stored."""
+    """(word, c, ..., value): log10 probability of each word of (word, c, ...), stored."""
     spark = vocabulary.sparkSession
     once = vocabulary.agg(F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1))).first()
     discount = float(np.clip(once[0] / max(once[0] + 2 * once[1], 1), 0.1, 0.95))
-    hashed = vocabulary.select("word", "c", F.xxhash64("word").alias("hash"))
+    hashed = vocabulary.select("*", F.xxhash64("word").alias("hash"))
     before, samples = None, []
     for sweep in range(SWEEPS):
         step = _sweep(before and before[0], before[1] if before else 0, discount, sweep)
@@ -287,32 +265,32 @@ def word_values(vocabulary: DataFrame, total: int) -> DataFrame:
     mass = hashed.mapInArrow(_known_mass([s[0] for s in samples]), "i int, mass double").groupBy("i").agg(F.sum("mass"))
     masses = {i: min(float(m), 1 - 1e-9) for i, m in mass.collect()}
     samples = [(*sample, masses.get(i, 0.0)) for i, sample in enumerate(samples)]
-    return stored(hashed.mapInArrow(_valued(samples, discount, total), "word binary, c long, value double"), "values")
-
-
-def _scored(total: int, distinct: int):
-    def score(block: pa.Table, values: pa.Table) -> pa.Table:
-        doc_ids, flags = block["doc_ids"][0].as_py(), block["flags"][0].as_py()
-        sizes = np.array(block["sizes"][0].as_py(), np.int64)
-        number, times = numbers(block["numbers"][0].as_py()), numbers(block["times"][0].as_py())
-        at = values["at"].to_numpy()
-        counts, value = np.empty(len(at), np.int64), np.empty(len(at))
-        counts[at], value[at] = values["c"].to_numpy(), values["value"].to_numpy()
+    schema = f"{vocabulary.schema.toDDL()}, value double"
+    return stored(hashed.mapInArrow(_valued(samples, discount, total), schema), "values")
+
+
+def _scored(total: int, distinct: int, buckets: int, hot: np.ndarray, rest_of_hot: dict[int, float]):
+    def score(block: pa.Table, sides: pa.Table) -> pa.Table:
+        (row,) = block.to_pylist()
+        of_words = sides.filter(pc.is_valid(sides["at"]))
+        returned = sides.filter(pc.is_valid(sides["bucket"])).select(["bucket", "own", "rest"]).to_pylist()
+        at = of_words["at"].to_numpy()
+        ids, counts, value = np.empty(len(at), np.int64), np.empty(len(at), np.int64), np.empty(len(at))
+        ids[at], counts[at], value[at] = (of_words[c].to_numpy() for c in ("id", "c", "value"))
+        pairs = word_contexts.Pairs(row, ids)
+        own, rest = word_contexts.following(pairs, returned, buckets, hot, rest_of_hot)
+        likely = np.log10(own + rest * 10.0 ** value[pairs.second])
         base = np.log10((counts + 1) / (total + distinct + 1))
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-
-        def summed(x: np.ndarray) -> np.ndarray:
-            return np.bincount(doc, x[number] * times, len(sizes))
-
+        n = len(row["sizes"])
         return pa.table(
             {
-                "doc_id": pa.array(doc_ids, pa.int64()),
-                "held_out": pa.array([not f for f in flags], pa.bool_()),
-                "n_tokens": np.bincount(doc, times, len(sizes)).astype(np.int64),
-                "n_known": summed((counts > 0).astype(float)).astype(np.int64),
-                "train_tokens": np.full(len(sizes), total),
-                "base_score": summed(base),
-                "score": summed(value),
+                "doc_id": pa.array(row["doc_ids"], pa.int64()),
+                "held_out": pa.array([not f for f in row["flags"]], pa.bool_()),
+                "n_tokens": np.array(row["sizes"], np.int64),
+                "n_known": np.bincount(pairs.doc, counts[pairs.places] > 0, n).astype(np.int64),
+                "train_tokens": np.full(n, total),
+                "base_score": np.bincount(pairs.doc, base[pairs.places], n),
+                "score": np.bincount(pairs.doc, likely[pairs.at], n),
             }
         )
 
@@ -326,16 +304,32 @@ _RESULT = (
 
 def score(docs: DataFrame) -> DataFrame:
     """Base and model score of every row of ``docs``; fold 2 of 7 is not learnt from."""
-    held = blocks.build(docs, ~fold_is(7, 2), END)
+    held = word_contexts.build(docs, ~fold_is(7, 2), END)
     words = blocks.entries(held, "uses")
-    vocabulary = stored(words.groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
-    total, distinct = vocabulary.agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))
+    counted = words.groupBy("word").agg(F.sum("n").alias("c"))
+    vocabulary = numbered(counted, "vocabulary")
+    if vocabulary.count() >= 1 << 32:
+        raise ValueError("more than 2**32 words, which pairs of 64 bits cannot tell apart")
+    total, distinct, texts = vocabulary.agg(
+        F.coalesce(F.sum("c"), F.lit(0)),
+        F.count(F.when(F.col("c") > 0, 1)),
+        F.coalesce(F.sum(F.when(F.col("word") == F.lit(END), F.col("c"))), F.lit(0)),
     ).first()
-    values = word_values(vocabulary, total)
-    valued = words.drop("n").join(values, "word").select("of", "at", "c", F.col("value").cast("float").alias("value"))
-    rest = held.drop("words", "uses", "holders")
-    return rest.groupBy("block").cogroup(valued.groupBy("of")).applyInArrow(_scored(total, distinct), _RESULT)
+    known = stored(words.join(vocabulary, "word").select("of", "at", "id", "c"), "known")
+    contexts = word_contexts.Contexts(
+        held.select("block", "flags", "sizes", "places"), known, vocabulary, total, texts
+    )
+    # Customers of the words' restaurant are the tables of the contexts'.
+    customers = vocabulary.drop("c").join(contexts.parent, "id", "left").select(
+        "word", F.coalesce("tables", F.lit(0)).alias("c"), "id"
+    )
+    customers = stored(customers, "customers")
+    values = word_values(customers, customers.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0])
+    valued = known.join(values.select("id", F.col("value").cast("float").alias("value")), "id")
+    sides = valued.unionByName(contexts.returned, allowMissingColumns=True)
+    rest = held.drop("words", "uses")
+    scored = _scored(total, distinct, contexts.buckets, contexts.hot, contexts.rest_of_hot)
+    return rest.groupBy("block").cogroup(sides.groupBy("of")).applyInArrow(scored, _RESULT)
 
 
 def op9_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,142 @@
+"""Words in context: the restaurants after each word."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from skymetrics.llm import blocks, pitman_yor_lm, word_contexts
+from skymetrics.llm.common import numbered, stored
+from skymetrics.llm.seating import seat
+from tests.llm.helpers import prose, rows, table
+
+
+def one_by_one(customers, base, discount, strength, rng, sweeps=8):
+    """Tables of each dish of one restaurant: each customer gets up and is seated alone, sweep by sweep."""
+    at = [[] for _ in customers]  # customers at each table of a dish
+    queue = [d for d, n in enumerate(customers) for _ in range(n)]
+    for sweep in range(sweeps):
+        rng.shuffle(queue)
+        for d in queue:
+            if sweep:
+                t = rng.choices(range(len(at[d])), at[d])[0]
+                at[d][t] -= 1
+                if not at[d][t]:
+                    at[d].pop(t)
+            new = (strength + discount * sum(map(len, at))) * base[d]
+            odds = [n - discount for n in at[d]] + [new]
+            t = rng.choices(range(len(odds)), odds)[0]
+            at[d][t:] = [at[d][t] + 1, *at[d][t + 1 :]] if t < len(at[d]) else [1]
+    return list(map(len, at))
+
+
+@pytest.mark.parametrize("discount, strength", [(0.8, 1.0), (0.5, 10.0)])
+def test_tables_are_as_many_as_if_seated_one_by_one(discount, strength):
+    """Within a tenth, over many restaurants of a small corpus."""
+    customers, base = [1, 2, 3, 5, 8, 20, 60], [0.02, 0.05, 0.1, 0.1, 0.2, 0.2, 0.3]
+    rng = random.Random(1)
+    alone = np.mean([one_by_one(customers, base, discount, strength, rng) for _ in range(200)], 0)
+    n = 600
+    counts, shares = np.tile(customers, n), np.tile(base, n)
+    at = np.repeat(np.arange(n), len(customers))
+    tables = np.minimum(counts, 1)
+    for sample in range(word_contexts.SAMPLES + 2):
+        key = np.random.default_rng(sample).integers(0, 1 << 63, len(counts)).astype(np.uint64)
+        all_ = np.bincount(at, tables)
+        tables = seat(counts, shares, all_[at] - tables, discount, strength, key)
+    together = tables.reshape(n, -1).mean(0)
+    assert together.sum() == pytest.approx(alone.sum(), rel=0.1)
+    assert together[:3] == pytest.approx(alone[:3], rel=0.12)
+
+
+def contexts(spark, data, monkeypatch=None, bucket_pairs=None):
+    if bucket_pairs:
+        monkeypatch.setattr(word_contexts, "BUCKET_PAIRS", bucket_pairs)
+    held = word_contexts.build(table(spark, data, False), F.lit(True), pitman_yor_lm.END)
+    words = blocks.entries(held, "uses")
+    vocabulary = numbered(words.groupBy("word").agg(F.sum("n").alias("c")), "test")
+    total = vocabulary.agg(F.sum("c")).first()[0]
+    known = stored(words.join(vocabulary, "word").select("of", "at", "id", "c"), "known")
+    made = word_contexts.Contexts(held, known, vocabulary, total, len(data))
+    return held, known, vocabulary, made
+
+
+@pytest.mark.parametrize("bucket_pairs", [None, 300])
+def test_probabilities_after_each_word_sum_to_one(spark, monkeypatch, bucket_pairs):
+    rng = random.Random(2)
+    data = [(i, prose(rng, "en", 60), "en", "s", 1) for i in range(60)]
+    monkeypatch.setattr(word_contexts, "BLOCK_BYTES", 4000)
+    held, known, vocabulary, made = contexts(spark, data, monkeypatch, bucket_pairs)
+    assert (made.buckets > 5 and len(made.hot) > 1) == bool(bucket_pairs)
+    own, rest = {}, {}
+    for row in held.collect():
+        ids = np.zeros(len(row["words"]), np.int64)
+        for r in known.where(F.col("of") == row["block"]).collect():
+            ids[r["at"]] = r["id"]
+        pairs = word_contexts.Pairs(row.asDict(), ids)
+        back = [r.asDict() for r in made.returned.where(F.col("of") == row["block"]).collect()]
+        values = word_contexts.following(pairs, back, made.buckets, made.hot, made.rest_of_hot)
+        for key, a, b in zip(pairs.keys.tolist(), *values):
+            assert own.setdefault(key, a) == a and rest.setdefault(key >> 32, b) == b
+    sums = defaultdict(float)
+    for key, value in own.items():
+        sums[key >> 32] += value
+    for word, value in rest.items():
+        # What the followers keep and what goes to the parent, to the twelve bits that are sent back.
+        assert sums[word] + value == pytest.approx(1, abs=1e-3)
+    counts = {r["id"]: r["c"] for r in vocabulary.collect()}
+    tables = {r["id"]: r["tables"] for r in made.parent.collect()}
+    assert set(tables) == set(counts) and all(1 <= tables[w] <= counts[w] for w in counts)
+
+
+def test_pairs_are_counted_within_documents(spark):
+    data = [(1, "a b a b", "en", "s", 1), (2, "b a", "en", "s", 1), (3, None, "en", "s", 1), (1, "a b a b", "en", "s", 1)]
+    held, known, vocabulary, made = contexts(spark, data)
+    name = {r["id"]: bytes(r["word"]).decode() for r in vocabulary.collect()} | {0: "^"}
+    found = Counter()
+    for row in held.collect():
+        ids = np.zeros(len(row["words"]), np.int64)
+        for r in known.where(F.col("of") == row["block"]).collect():
+            ids[r["at"]] = r["id"]
+        pairs = word_contexts.Pairs(row.asDict(), ids)
+        for key, n in zip(pairs.keys.tolist(), pairs.uses.tolist()):
+            found[name[key >> 32], name[key & 0xFFFFFFFF]] += n
+    want = Counter()
+    for _, text, *_ in data:
+        words = ["^", *(text or "").split(), ""]
+        want.update(zip(words, words[1:]))
+    assert found == want
+
+
+def test_order_of_words_counts(spark):
+    rng = random.Random(3)
+    sentences = [prose(rng, "en", 12).split() for _ in range(40)]
+    data = [(i, " ".join(sum(rng.choices(sentences, k=6), [])), "en", "s", 1) for i in range(150)]
+    held = [i for i in range(1000, 1060)]
+    for i in held:
+        words = sum(rng.choices(sentences, k=6), [])
+        data += [(i, " ".join(words), "en", "s", 1), (i, " ".join(rng.sample(words, len(words))), "en", "x", 1)]
+    out = pitman_yor_lm.score(table(spark, data).where("doc_id < 1000 OR crc32(cast(doc_id AS string)) % 7 = 2"))
+    scores = defaultdict(list)
+    for r in out.where("doc_id >= 1000").collect():
+        assert r.held_out
+        scores[r.doc_id].append(r.score)
+    assert scores and all(max(s) > min(s) + 5 for s in scores.values())
+
+
+def test_buckets_change_little(spark, monkeypatch):
+    data = rows(80, seed=4)
+    whole = {str(r.doc_id): r.score for r in pitman_yor_lm.score(table(spark, data[:80])).collect()}
+    monkeypatch.setattr(word_contexts, "BUCKET_PAIRS", 400)
+    parts = {str(r.doc_id): r.score for r in pitman_yor_lm.score(table(spark, data[:80])).collect()}
+    assert set(whole) == set(parts)
+    assert all(math.isclose(whole[i], parts[i], rel_tol=0.03) for i in whole)
+
+
+def test_held_out_text_of_the_given_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sums = pitman_yor_lm.score(docs).where("held_out").agg(F.sum("score"), F.sum("n_tokens")).first()
+    assert sums[0] / sums[1] > -2.9
