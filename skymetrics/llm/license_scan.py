@@ -7,7 +7,9 @@ both sides of AND the stricter, of OR the freer, WITH an exception never stricte
 
 Words are runs of letters, digits and all that isn't ASCII, with A-Z in lower case. Null texts are
 empty. Texts without a finding have no labels, empty strings, null places and score 0. A tag whose
-expression doesn't parse counts as an unknown licence. Repeated rows are scanned alike.
+expression doesn't parse counts as an unknown licence. Very long texts are scanned whole, repeated rows
+alike. Ties do not arise. An empty table gives no rows. Only ``doc_id`` and ``text`` are read, so further columns
+may have any name.
 """
 
 import re

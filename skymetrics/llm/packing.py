@@ -7,9 +7,11 @@ goes on to the window with the next more room. Windows carry a bitmap of the clu
 each count up to ``per_source``, one of the sources that have that many pieces in it.
 
 Rows are dealt to shards by hash, each packed on its own, so a source or cluster of any size is
-spread evenly; a shard holds about ``SHARD`` rows. Null sources conflict with nothing. Null and
-empty texts have no words and take a window's room of zero. Repeated rows are packed each, and as
-one cluster, so never together.
+spread evenly; a shard holds about ``SHARD`` rows. Equal rows are numbered and dealt by their number too. Null
+sources conflict with nothing. Null and empty texts have no words and take a window's room of zero; very
+long ones are cut into pieces. Pieces of one size go by the smaller id, nulls last. Repeated rows are packed
+each, and as one cluster, so never together. An empty table gives no pieces. Only ``doc_id``, ``text`` and
+``source`` are read, so further columns may have any name.
 """
 
 from bisect import bisect_left, insort

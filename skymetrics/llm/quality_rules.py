@@ -4,9 +4,12 @@ Base rules count words, symbols, repeated lines and words in repeated five-word
 compares two histograms of a document with those of its language, by Jensen-Shannon distance:
 kinds of characters, and the commonest words. Languages are measured over all documents that are
 long enough to be judged themselves and near to most of their language; a language without a word
-list here is one of a group that is measured with a list mixed from all of them. Documents below the minimum length are left to the base rules.
+list here is one of a group that is measured with a list mixed from all of them. Documents below the
+minimum length are left to the base rules.
 
-Null texts count as empty: no words, which the base rules refuse. Repeated rows are judged alike.
+Null texts count as empty: no words, which the base rules refuse. Very long texts are judged whole, repeated
+rows alike. Distances that tie with a limit pass. An empty table gives no rows. Only ``doc_id``, ``text`` and
+``lang`` are read, so further columns may have any name.
 """
 
 from collections.abc import Callable

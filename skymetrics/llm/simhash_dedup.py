@@ -6,14 +6,16 @@ differ in at most ``RADIUS`` of their 64 bits are linked; components of links ar
 Cut into six blocks, two such fingerprints agree in at least two blocks. So each distinct
 fingerprint goes to the 15 shards that a pair of its blocks names. Each shard has a BK-tree: a
 node's children are keyed by their distance from it, and a query follows only edges within the
-radius of its own distance. Trees of all shards of a task are built and searched level by level,
-as arrays. A shard with more than ``SHARD_LIMIT`` members is cut again by pairs of six blocks of
+radius of its own distance. Rows come sorted by shard, and trees of about ``TOGETHER`` fingerprints' shards
+are built and searched at a time, level by level, as arrays. A shard with more than ``SHARD_LIMIT`` members is cut again by pairs of six blocks of
 its remaining bits, which loses nothing for the same reason. Copies share one fingerprint, so they
 are one node. The trees travel to the queries of their shard by the shuffle, not by a broadcast,
 as nothing bounds the number of fingerprints.
 
-Null and empty texts have fingerprint zero and are linked like any other. A group's id is its
-smallest document id; nulls count only if there is no other. Repeated rows stay as they are.
+Null and empty texts have fingerprint zero and are linked like any other; very long ones are hashed whole.
+A group's id is its smallest document id; nulls count only if there is no other. Repeated rows stay as
+they are, and ties between rows of one id go by the smaller fingerprint. An empty table gives no rows. Only
+``doc_id`` and ``text`` are read, so further columns may have any name.
 """
 
 from itertools import combinations
@@ -35,6 +37,9 @@ SEED = 42
 BLOCKS = 6
 SHARD_LIMIT = 20_000
 
+# Rows of shards that are searched together, unless one has more.
+TOGETHER = 1 << 18
+
 # Pairs of a query and a node that are looked at together.
 _FRONTIER = 1 << 20
 
@@ -159,18 +164,33 @@ def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             return
 
 
+def _columns(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints, and the mask and key of each."""
+    shard = np.stack([rows["mask"].to_numpy().astype(np.int64), rows["key"].to_numpy()], 1)
+    return rows["fp"].to_numpy().view(np.uint64), shard
+
+
 def _links(radius: int):
     def links(batches):
-        """Links of each task's shards, as a star around the smallest of what hangs together."""
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        fp = table["fp"].to_numpy().view(np.uint64)
-        shard = np.stack([table["mask"].to_numpy().astype(np.int64), table["key"].to_numpy()], 1)
-        del table, held
-        order = np.lexsort((fp, shard[:, 1], shard[:, 0]))
-        fp, shard = fp[order], shard[order]
+        """Links of each task's shards, which come one after the other."""
+        held, size, enough = [], 0, TOGETHER
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size > enough:
+                rows = pa.Table.from_batches(held)
+                fp, shard = _columns(rows)
+                # The last shard may go on in the next batch.
+                whole = len(fp) - np.argmax((shard != shard[-1]).any(1)[::-1]) if (shard != shard[0]).any() else 0
+                if whole:
+                    yield from of_shards(fp[:whole], shard[:whole])
+                    held, size = rows.slice(whole).to_batches(), len(fp) - whole
+                enough = max(TOGETHER, 2 * size)
+        if size:
+            yield from of_shards(*_columns(pa.Table.from_batches(held)))
+
+    def of_shards(fp, shard):
+        """Links of whole shards, as a star around the smallest of what hangs together."""
         begins = np.concatenate([[True], (shard[1:] != shard[:-1]).any(1)])
         group = np.cumsum(begins) - 1
         shared = np.bincount(group)[group] > 1
@@ -192,7 +212,8 @@ def _links(radius: int):
 
 
 def _linked(keyed: DataFrame, radius: int) -> DataFrame:
-    return keyed.repartition("mask", "key").mapInArrow(_links(radius), "x bigint, y bigint")
+    sorted_ = keyed.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp")
+    return sorted_.mapInArrow(_links(radius), "x bigint, y bigint")
 
 
 def groups(fingerprints: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> DataFrame:

@@ -16,8 +16,9 @@ Files are named by their place in the order and written under a temporary name f
 that is run again replaces its files by the same ones. The folder must be one that all executors
 reach; any file system that pyarrow knows will do.
 
-Null and empty texts are their end id only. A null id comes first. Documents with one id are in the
-order of a hash of their texts. An empty table gives no file.
+Null and empty texts are their end id only; very long ones are written whole. A null id comes first.
+Documents with one id are in the order of a hash of their texts, repeated rows one after the other. An empty
+table gives no file. Only ``doc_id`` and ``text`` are read, so further columns may have any name.
 """
 
 import os

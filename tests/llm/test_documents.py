@@ -77,8 +77,11 @@ def test_groups_equal_brute_force(spark):
     assert max(Counter(r[2] for r in want).values()) >= 6
 
 
+@pytest.mark.parametrize("together", [1 << 18, 25], ids=["all at once", "shard by shard"])
 @pytest.mark.parametrize("limit", [10**6, 20], ids=["plain", "crowded"])
-def test_no_link_is_lost(spark, limit):
+def test_no_link_is_lost(spark, monkeypatch, conf, limit, together):
+    monkeypatch.setattr(simhash_dedup, "TOGETHER", together)
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "10" if together < 100 else "1000")
     rng = random.Random(8)
     values = [rng.getrandbits(64) for _ in range(150)]
     for base in values[:15]:
