@@ -1,6 +1,10 @@
 """The corpus pipeline: five stages, each over all that the one before it kept.
 
 ``run`` writes what a stage returns as Parquet in the shared folder and gives it to the next.
+
+All stages take null and empty texts, null ids, sources and languages, very long texts, repeated rows and
+columns beyond those of documents, whatever their names, and return all columns, but for the last. An empty
+table gives an empty one of the same columns.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +15,27 @@ from skymetrics.llm.common import documents, free_name, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line classifier takes for good."""
+    """Documents that the line classifier takes for good; null and empty texts by the score of an empty line.
+
+    Repeated rows share a score. Without labels of both kinds all stay.
+    """
     return quality_classifier.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents whose language can be told: not null or empty texts, nor any without a letter.
+
+    Of languages that tie, the one with more labelled documents counts.
+    """
     return language_id.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of fingerprints that hang together."""
+    """The document with the smallest id of each group of fingerprints that hang together.
+
+    Null and empty texts are one group. Of rows that repeat the id, the one with the smallest fingerprint stays.
+    A null id stays only if its group has no other.
+    """
     return simhash_dedup.keep_first(docs)
 
 
@@ -45,7 +59,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies: windows that hold no text twice."""
+    """Where each piece of each document lies: windows that hold no text twice.
+
+    Null and empty texts have one piece without words, very long ones several.
+    """
     return packing.pack(packing.sized(docs))
 
 
