@@ -4,10 +4,13 @@ All of them run over whole tables. Distances are rounded here, never in an opera
 two engines' trigonometry differs in the last bits.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 from functools import partial, reduce
+from uuid import uuid4
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +20,7 @@ from skymetrics.operators import counts, enrich, filters
 from skymetrics.operators.ranking import largest_first, top_n
 from skymetrics.plans import kpis
 from skymetrics.plans.jobs import QUESTIONS, REJECTED, extract, read_result, run_kpi
-from skymetrics.plans.session import scratch_folder
+from skymetrics.plans.session import file_system, scratch_folder
 from skymetrics.schemas import FLIGHTS, TABLES
 from skymetrics.sources import landing
 from skymetrics.sources.snapshots import (
@@ -62,6 +65,33 @@ def _landed(spark: SparkSession, lines: DataFrame, feed: str) -> DataFrame:
     return landing.read_feed(spark, folder, feed)
 
 
+def _land_documents(documents: DataFrame, key: str, folder: str) -> None:
+    """Writes each document as a file of its own, named by its key, the way zones land.
+
+    All tasks write at once into one folder. Spark's own writer has a folder for each file, which it makes,
+    moves and lists in turn.
+    """
+    spark = documents.sparkSession
+    fs, path = file_system(spark, folder)
+    fs.mkdirs(path)
+    uri = fs.makeQualified(path).toString()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, base = pyarrow.fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for name, text in zip(batch[0].to_pylist(), batch[1].to_pylist()):
+                # Readers skip the passing name, so a task that is run again only replaces whole files.
+                passing = f"{base}/.{uuid4().hex}"
+                with target.open_output_stream(passing) as out:
+                    out.write(f"{text}\n".encode())
+                target.move(passing, f"{base}/{name}.json")
+            yield batch.select([0])
+
+    dealt = documents.repartition(spark.sparkContext.defaultParallelism, key)
+    rows = dealt.select(F.col(key).cast("string").alias("name"), "value")
+    rows.mapInArrow(write, "name string").write.format("noop").mode("overwrite").save()
+
+
 @query
 def src_flights_typed(spark, sf):
     lines = derived.flight_lines(spark, sf)
@@ -92,7 +122,7 @@ def src_zones_flattened(spark, sf):
 def src_zones_feed(spark, sf):
     """Zones through the file reader: one file for each document."""
     folder = scratch_folder(spark, "zones")
-    derived.zone_documents(spark, sf).write.partitionBy("s_suppkey").text(folder)
+    _land_documents(derived.zone_documents(spark, sf), "s_suppkey", folder)
     return landing.accepted(landing.read_feed(spark, folder, "zones"))
 
 
@@ -110,12 +140,10 @@ def _extracted(spark: SparkSession, sf: str) -> str:
         "flights": derived.flight_lines,
         "airports": derived.airport_lines,
         "airlines": derived.airline_lines,
-        "zones": derived.zone_documents,
     }
     for feed, lines in feeds.items():
-        rows = lines(spark, sf)
-        writer = rows.write.partitionBy("s_suppkey") if feed == "zones" else rows.write
-        writer.text(f"{root}/{feed}")
+        lines(spark, sf).write.text(f"{root}/{feed}")
+    _land_documents(derived.zone_documents(spark, sf), "s_suppkey", f"{root}/zones")
     extract(spark, root, store, RUN_HOUR)
     return store
 
