@@ -54,9 +54,9 @@ def zoned_airports(airports: DataFrame, zones: DataFrame) -> DataFrame:
     return assign_zone(airports, zones, "airportLat", "airportLong", "continent")
 
 
-def airports_by_tiles(airports: DataFrame, tiles: DataFrame) -> DataFrame:
+def airports_by_tiles(airports: DataFrame, tiles: DataFrame, finest: int = 0) -> DataFrame:
     """``zoned_airports`` for zones that are stored in tiles."""
-    return assign_by_tiles(airports, tiles, "airportLat", "airportLong", "continent")
+    return assign_by_tiles(airports, tiles, "airportLat", "airportLong", "continent", finest)
 
 
 def with_geography(flights: DataFrame, airports: DataFrame, zones: DataFrame) -> DataFrame:

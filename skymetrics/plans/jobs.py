@@ -3,13 +3,14 @@
 import logging
 from collections.abc import Callable, Iterable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skymetrics.operators.enrich import airports_by_tiles
 from skymetrics.operators.filters import is_clean
-from skymetrics.operators.zones import zone_tiles
+from skymetrics.operators.zones import FINEST, settle_tiles, zone_tiles
 from skymetrics.plans import kpis
 from skymetrics.schemas import REJECTED as REJECTS
 from skymetrics.schemas import RESULT_NAMES, STORED, TABLES
@@ -82,6 +83,18 @@ def ingest(spark: SparkSession, landing: str, store: str, table: str, at: dateti
     return n_bad
 
 
+def _settled(spark: SparkSession, tiles: DataFrame, folder: str) -> DataFrame:
+    """Tiles in which no point meets very many zones, written round by round until none is crowded."""
+    rounds: list[DataFrame] = []
+    while True:
+        staged = stage(settle_tiles(tiles), f"{folder}/settled_tiles/{len(rounds)}")
+        settled = _read_staged(spark, staged)
+        rounds.append(settled.where(~F.col("crowded")).drop("crowded"))
+        tiles = settled.where("crowded").drop("crowded")
+        if tiles.isEmpty():
+            return reduce(DataFrame.unionByName, rounds)
+
+
 def extract(spark: SparkSession, landing: str, store: str, at: datetime) -> dict[str, int]:
     """Ingests all four feeds and stores the zones' tiles and the airports with their continents;
     returns the rejects of each feed.
@@ -100,7 +113,8 @@ def extract(spark: SparkSession, landing: str, store: str, at: datetime) -> dict
             raise ValueError(f"no zone in {landed} files of {landing}/zones, {rejects['zones']} rejected")
         staged["zone_tiles"] = stage(zone_tiles(zones), f"{folder}/zone_tiles")
         airports = _read_staged(spark, staged["airports"])
-        zoned = airports_by_tiles(airports, _read_staged(spark, staged["zone_tiles"]))
+        tiles = _settled(spark, _read_staged(spark, staged["zone_tiles"]), folder)
+        zoned = airports_by_tiles(airports, tiles, FINEST)
         staged["zoned_airports"] = stage(zoned, f"{folder}/zoned_airports")
         publish(spark, store, at, staged)
     log.info("hour %s: %s stored in %s", at, ", ".join(sorted(staged)), store)

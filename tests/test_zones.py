@@ -2,8 +2,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from skymetrics.operators.zones import assign_zone
+from skymetrics.operators.zones import FINEST, _tile, assign_by_tiles, assign_zone, settle_tiles, zone_tiles
 from tests.helpers import AFRICA, BOXES, EUROPE, OVERLAP, first_zone, tuples, zones
 
 
@@ -123,3 +124,47 @@ def test_few_and_many_zones_have_one_plan_and_run_nothing_while_it_is_made(spark
 
 def explain(df):
     return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+
+def settled(tiles, rounds):
+    """Tiles after all rounds of settling."""
+    done = tiles.limit(0)
+    for _ in range(rounds):
+        out = settle_tiles(tiles).localCheckpoint()
+        done = done.unionByName(out.where("not crowded").drop("crowded"))
+        tiles = out.where("crowded").drop("crowded")
+    assert tiles.isEmpty()
+    return done
+
+
+@pytest.mark.parametrize("shared", [False, True], ids=["anywhere", "shared borders"])
+def test_overlapping_zones_are_settled_without_changing_any_answer(spark, shared):
+    rng = random.Random(5)
+    inf = float("inf")
+    boxes = []
+    for i in range(1500):
+        bottom, left = (-3.0, -2.5) if shared else (rng.uniform(-60, 50), rng.uniform(-150, 140))
+        top, right = bottom + rng.uniform(20, 40), left + rng.uniform(20, 40)
+        boxes.append((rng.randrange(1200), f"z{i}", None, top, left, bottom, right))
+    boxes += [(2000, "all", None, inf, -inf, -inf, inf), (1999, "edge", None, 1536.0, 900.0, 900.0, 1536.0)]
+    points = [(rng.uniform(-70, 95), rng.uniform(-160, 185)) for _ in range(800)]
+    points += [(float(rng.randrange(-64, 64)), float(rng.randrange(-64, 64))) for _ in range(400)]
+    points += [c for b in boxes[:200] for c in ((b[3], b[4]), (b[5], b[6]))]
+    points += [(1024.0, 1024.0), (1536.0, 1000.0), (5000.0, 5000.0), (-5000.0, 1e300), (1025.0, 1023.0)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, lat double, lon double")
+    tiles = zone_tiles(zones(spark, boxes)).localCheckpoint()
+    few = settled(tiles, 2 + 9 - FINEST).localCheckpoint()
+    out = assign_by_tiles(df, few, "lat", "lon", "zone", FINEST)
+    got = [r.zone for r in sorted(out.select("i", "zone").collect())]
+    # Of zones with one number the first by name counts.
+    assert got == [first_zone(*p, sorted(boxes, key=lambda b: b[:2])) for p in points]
+
+    def meetings(of, finest):
+        spots = df.select(F.col("lat").alias("y"), F.col("lon").alias("x")).withColumn(
+            "level", F.explode(F.sequence(F.lit(finest), F.lit(9)))
+        )
+        at = [_tile(c).alias(f"tile_{c}") for c in "yx"]
+        return spots.select("level", *at).join(of, ["level", "tile_y", "tile_x"]).count()
+
+    # Points used to be compared with every zone whose tile they share.
+    assert 5 * meetings(few, FINEST) < meetings(tiles, 0)
