@@ -449,6 +449,26 @@ def test_search_equals_brute_force(spark, monkeypatch):
     assert sum(a != b for a, b in zip(sorted(got, key=order), sorted(want, key=order))) < len(want) / 20
 
 
+def test_search_asks_with_all_words(spark, monkeypatch):
+    monkeypatch.setattr(topk_search.blocks, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(topk_search, "BUNDLE_WORDS", 40)
+    monkeypatch.setattr(topk_search, "TOGETHER", 2)
+    # 40 words each, all in three documents: the last ones in order tell document 20 from 21.
+    words = [f"w{i:02d}" for i in range(40)]
+    data = [(10, " ".join(words)), (20, " ".join(words[20:])), (21, " ".join(words[:20] + ["x"] * 20))]
+    data = [(i, text, "en", "s", len(text)) for i, text in data + [(30 + i, f"y{i} z") for i in range(1, 8)]]
+    out = topk_search.search_documents(table(spark, data), F.col("doc_id") == 10, 3)
+    got = [(r.query_id, r.doc_id, r.rank, round(r.score, 6)) for r in out.orderBy("rank").collect()]
+    assert got == brute_search(data, lambda i: i == 10, 3, len(words))
+    assert [r[1] for r in got] == [10, 20, 21]
+    # Rows with several bundles and parts, and with many shards.
+    data = [r for r in rows(150) if r[0] != 5]
+    out = topk_search.search_documents(table(spark, data), F.col("doc_id") % 10 == 0, 5)
+    got = sorted((r.query_id, r.rank, round(r.score, 6)) for r in out.collect())
+    want = brute_search(data, lambda i: i % 10 == 0, 5, 10**6)
+    assert got == sorted((q, rank, score) for q, _, rank, score in want)
+
+
 # -- nothing to do ---------------------------------------------------------------------------
 
 
