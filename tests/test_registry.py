@@ -57,3 +57,12 @@ def test_zone_documents_land_as_files_of_one_folder_from_many_tasks(spark, tmp_p
     files = {p.name: p.read_text() for p in (tmp_path / "zones").iterdir() if p.suffix == ".json"}
     assert files == {f"{i}.json": f'{{"é":{i}}}\n' for i in range(300)}
     assert spark.read.text(f"{tmp_path}/zones", wholetext=True).count() == 300
+
+
+def test_ingested_zones_land_in_one_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "scratch_folder", lambda _, name: f"file://{tmp_path}/{name}")
+    rejects = driver.queries()["ingest_rejects"](spark, SF_SMALL)
+    landed = [p for p in (tmp_path / "landing" / "zones").iterdir() if p.suffix != ".crc"]
+    assert all(p.is_file() for p in landed)
+    assert len(landed) == spark.read.parquet(f"{SF_SMALL}/supplier.parquet").count()
+    assert rejects.where("feed = 'zones'").isEmpty() and not rejects.isEmpty()
