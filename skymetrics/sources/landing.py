@@ -50,8 +50,8 @@ def _ends_early(text: Column) -> Column:
     return F.aggregate(F.regexp_extract_all(brackets, F.lit("(.)")), start, step)["early"]
 
 
-def _parsed(text: Column, schema: DataType) -> Column:
-    """Struct (_record, _fine): a JSON text as ``schema``, and whether all of it is one such value.
+def _read(text: Column, schema: DataType) -> Column:
+    """Struct (_record, _END, _BROKEN): a JSON text read as the only element of an array.
 
     ``from_json`` ignores what follows the first value. So the text is parsed as the only element
     of an array in an object with a last key: text behind the value then breaks the array, adds
@@ -64,16 +64,24 @@ def _parsed(text: Column, schema: DataType) -> Column:
         StructField(_END, StringType()),
         StructField(_BROKEN, StringType()),
     ]
-    parsed = F.from_json(wrapped, StructType(fields), _STRICT)
-    one_value = ~F.when(text.rlike(r"\}\s*\]"), _ends_early(text)).otherwise(False)
+    return F.from_json(wrapped, StructType(fields), _STRICT)
+
 
-    def judged(p: Column) -> Column:
-        record = F.get(p["_record"], F.lit(0))
-        single = (F.size(p["_record"]) == 1) & record.isNotNull() & p[_END].isNotNull()
-        whole = F.coalesce(p[_BROKEN].isNull() & single & one_value, F.lit(False))
-        return F.struct(record.alias("_record"), whole.alias("_fine"))
+def _judged(read: Column | dict[str, Column], text: Column) -> tuple[Column, Column]:
+    """The record of what ``_read`` made of a text, and whether all of the text is one such value."""
+    record = F.get(read["_record"], F.lit(0))
+    # Most texts have no such bracket, and to look for one byte is far cheaper than the pattern.
+    closes = text.contains("]") & text.rlike(r"\}\s*\]")
+    one_value = ~F.when(closes, _ends_early(text)).otherwise(False)
+    single = (F.size(read["_record"]) == 1) & record.isNotNull() & read[_END].isNotNull()
+    whole = F.coalesce(read[_BROKEN].isNull() & single & one_value, F.lit(False))
+    return record.alias("_record"), whole.alias("_fine")
 
-    return F.get(F.transform(F.array(parsed), judged), F.lit(0))
+
+def _parsed(text: Column, schema: DataType) -> Column:
+    """Struct (_record, _fine): a JSON text as ``schema``, and whether all of it is one such value."""
+    read = F.array(_read(text, schema))
+    return F.get(F.transform(read, lambda r: F.struct(*_judged(r, text))), F.lit(0))
 
 
 def parse_lines(lines: DataFrame, schema: StructType, line: str = "value") -> DataFrame:
@@ -81,11 +89,14 @@ def parse_lines(lines: DataFrame, schema: StructType, line: str = "value") -> Da
 
     The whole record decides whether a line is good, whichever columns are used later, which a
     JSON file scan would not guarantee as it parses the selected columns only. Generated rows,
-    unlike a projected struct, are not parsed again by a filter on them.
+    unlike a projected struct, are not parsed again by a filter on them. They are judged as columns of
+    their own, which Spark compiles, and a lambda it does not.
     """
-    parsed = F.inline(F.array(_parsed(F.col(line), schema)))
-    rows = lines.filter(~F.col(line).rlike(_BLANK)).select(F.col(line).alias("record"), parsed)
-    return rows.select(
+    text = F.col(line)
+    read = F.inline(F.array(_read(text, schema)))
+    rows = lines.filter(text.startswith("{") | ~text.rlike(_BLANK)).select(text.alias("record"), read)
+    found = {name: F.col(name) for name in ("_record", _END, _BROKEN)}
+    return rows.select("record", *_judged(found, F.col("record"))).select(
         *[F.when(F.col("_fine"), F.col("_record")[f]).alias(f) for f in schema.names],
         "record",
         F.when(~F.col("_fine"), MALFORMED).alias("reject_reason"),

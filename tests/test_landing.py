@@ -263,3 +263,15 @@ def test_zone_documents_in_other_than_json_are_rejected(spark, tmp_path):
         assert tuples(landing.rejected(typed, "zones")) == [("zones", "malformed", text)]
     good = land(spark, tmp_path, [f'{{"it\'s":{corners}}}'], "zones")
     assert [r.continent for r in landing.accepted(good).collect()] == ["it's"]
+
+
+def test_lines_are_judged_without_a_lambda_and_as_texts_within_a_document_are(spark):
+    texts = ["{}", "{", "", " ", " ", " {} ", "{}]", "{}],[{}", '{"id":"}]"}', '{"id":"]"}', '{"id":"1"}]}x', "[{}]",
+             "null", '{"id":"1"} {"id":"2"}', '{"id":"1"}],"_end_of_record":"0"}', '{"on_ground":1}]', "x{}"]
+    lines = spark.createDataFrame([(t,) for t in texts], "value string")
+    rows = landing.parse_lines(lines, landing.RAW_FLIGHT)
+    assert "transform(" not in rows._jdf.queryExecution().executedPlan().toString()
+    parsed = lines.select("value", landing._parsed(lines["value"], landing.RAW_FLIGHT).alias("p")).collect()
+    fine = {r.value: r.p._fine for r in parsed if r.value not in ("", " ", " ")}
+    assert {r.record: r.reject_reason is None for r in rows.collect()} == fine
+    assert sum(fine.values()) == 4
