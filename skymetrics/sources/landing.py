@@ -235,10 +235,14 @@ def zones_from_documents(
     )
 
 
-def _zone_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Zones of all documents of a feed in one sequence: by file name, then by place in it."""
+def zones_by_file(spark: SparkSession, path: str) -> DataFrame:
+    """Zones of all documents of a feed, each with its ``file`` and its place in it."""
     texts = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-    zones = zones_from_documents(texts, keep=("file",))
+    return zones_from_documents(texts, keep=("file",))
+
+
+def in_sequence(zones: DataFrame) -> DataFrame:
+    """``zones_by_file`` in one sequence: by file name, then by place in it. Reads ``zones`` twice."""
     # One row for each file.
     sizes = zones.groupBy("file").agg(F.count("*").alias("size"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
@@ -263,5 +267,5 @@ def landed_files(spark: SparkSession, path: str) -> int:
 def read_feed(spark: SparkSession, path: str, feed: str) -> DataFrame:
     """One landed feed, typed, with its rejects still in it."""
     if feed == "zones":
-        return _zone_feed(spark, path)
+        return in_sequence(zones_by_file(spark, path))
     return _LINE_FEEDS[feed](spark.read.text(path))
