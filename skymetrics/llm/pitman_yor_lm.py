@@ -24,8 +24,8 @@ Seating is sampled level by level, given the others, a dish's customers at a tim
 
 A probability is the mean over the sampled seatings of its predictive probability.
 
-Counts cover all training documents. Pairs of words travel as numbers, once for each block of documents
-that has them. Null and empty texts are an end only; very long ones are scored whole. An empty table gives
+Counts cover all training documents. Words and pairs of words travel once for each block of documents
+that has them, pairs as numbers. Null and empty texts are an end only; very long ones are scored whole. An empty table gives
 no rows; one without training documents scores by the uniform base. Repeated rows count each. Ties do
 not arise. Only ``doc_id`` and ``text`` are read, so further columns may have any name.
 """
@@ -38,8 +38,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymetrics.llm import blocks, word_contexts
-from skymetrics.llm.common import documents, fold_is, numbered, stored
+from skymetrics.llm import word_contexts
+from skymetrics.llm.common import documents, fold_is, stored
 from skymetrics.llm.seating import seat
 
 END = b""  # the end of a text, a token that no word equals
@@ -271,12 +271,11 @@ def word_values(vocabulary: DataFrame, total: int) -> DataFrame:
 
 def _scored(total: int, distinct: int, buckets: int, hot: np.ndarray, rest_of_hot: dict[int, float]):
     def score(block: pa.Table, sides: pa.Table) -> pa.Table:
-        (row,) = block.to_pylist()
-        of_words = sides.filter(pc.is_valid(sides["at"]))
+        row = word_contexts.opened(block)
+        of_words = sides.filter(pc.is_valid(sides["numbers"]))
         returned = sides.filter(pc.is_valid(sides["bucket"])).select(["bucket", "own", "rest"]).to_pylist()
-        at = of_words["at"].to_numpy()
-        ids, counts, value = np.empty(len(at), np.int64), np.empty(len(at), np.int64), np.empty(len(at))
-        ids[at], counts[at], value[at] = (of_words[c].to_numpy() for c in ("id", "c", "value"))
+        ids, counts = word_contexts.listed(of_words)
+        value = word_contexts.listed_values(of_words)
         pairs = word_contexts.Pairs(row, ids)
         own, rest = word_contexts.following(pairs, returned, buckets, hot, rest_of_hot)
         likely = np.log10(own + rest * 10.0 ** value[pairs.second])
@@ -305,31 +304,23 @@ _RESULT = (
 def score(docs: DataFrame) -> DataFrame:
     """Base and model score of every row of ``docs``; fold 2 of 7 is not learnt from."""
     held = word_contexts.build(docs, ~fold_is(7, 2), END)
-    words = blocks.entries(held, "uses")
-    counted = words.groupBy("word").agg(F.sum("n").alias("c"))
-    vocabulary = numbered(counted, "vocabulary")
-    if vocabulary.count() >= 1 << 32:
-        raise ValueError("more than 2**32 words, which pairs of 64 bits cannot tell apart")
+    known, vocabulary = word_contexts.number_words(held)
     total, distinct, texts = vocabulary.agg(
         F.coalesce(F.sum("c"), F.lit(0)),
         F.count(F.when(F.col("c") > 0, 1)),
         F.coalesce(F.sum(F.when(F.col("word") == F.lit(END), F.col("c"))), F.lit(0)),
     ).first()
-    known = stored(words.join(vocabulary, "word").select("of", "at", "id", "c"), "known")
-    contexts = word_contexts.Contexts(
-        held.select("block", "flags", "sizes", "places"), known, vocabulary, total, texts
-    )
+    contexts = word_contexts.Contexts(held, known, vocabulary, total, texts)
     # Customers of the words' restaurant are the tables of the contexts'.
     customers = vocabulary.drop("c").join(contexts.parent, "id", "left").select(
-        "word", F.coalesce("tables", F.lit(0)).alias("c"), "id"
+        "word", F.coalesce("tables", F.lit(0)).alias("c"), "id", "bucket"
     )
     customers = stored(customers, "customers")
     values = word_values(customers, customers.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0])
-    valued = known.join(values.select("id", F.col("value").cast("float").alias("value")), "id")
+    valued = word_contexts.with_values(known, values)
     sides = valued.unionByName(contexts.returned, allowMissingColumns=True)
-    rest = held.drop("words", "uses")
     scored = _scored(total, distinct, contexts.buckets, contexts.hot, contexts.rest_of_hot)
-    return rest.groupBy("block").cogroup(sides.groupBy("of")).applyInArrow(scored, _RESULT)
+    return word_contexts.files(held).groupBy("block").cogroup(sides.groupBy("of")).applyInArrow(scored, _RESULT)
 
 
 def op9_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

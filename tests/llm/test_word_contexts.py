@@ -140,3 +140,52 @@ def test_held_out_text_of_the_given_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     sums = pitman_yor_lm.score(docs).where("held_out").agg(F.sum("score"), F.sum("n_tokens")).first()
     assert sums[0] / sums[1] > -2.9
+
+
+def test_blocks_are_not_shuffled(spark):
+    """Their words in order are the largest part of them: a task opens its block's file."""
+    out = pitman_yor_lm.score(table(spark, rows(40, seed=5)))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "places" not in plan
+
+
+@pytest.mark.parametrize("bucket_words", [None, 50])
+def test_words_are_numbered_by_frequency_in_buckets(spark, monkeypatch, bucket_words):
+    if bucket_words:
+        monkeypatch.setattr(word_contexts, "BUCKET_WORDS", bucket_words)
+    monkeypatch.setattr(word_contexts, "BLOCK_BYTES", 4000)
+    rng = random.Random(6)
+    data = [(i, prose(rng, "en", 60), "en", "s", 1) for i in range(40)] + [(99, None, "en", "s", 1)]
+    held = word_contexts.build(table(spark, data, False), F.col("doc_id") != 3, pitman_yor_lm.END)
+    known, vocabulary = word_contexts.number_words(held)
+    want = Counter({word: 0 for word in data[3][1].lower().encode().split()})
+    for row in data:
+        want.update(Counter([*(row[1] or "").lower().encode().split(), b""]) if row[0] != 3 else {})
+    found = vocabulary.collect()
+    assert {bytes(r["word"]): r["c"] for r in found} == want and len(found) == len(want)
+    of_word = {bytes(r["word"]): r for r in found}
+    assert len({r["id"] for r in found}) == len(found) and min(r["id"] for r in found) > 0
+    buckets = defaultdict(list)
+    for r in sorted(found, key=lambda r: r["id"]):
+        buckets[r["bucket"]].append(r["c"])
+    assert all(c == sorted(c, reverse=True) for c in buckets.values()) and (len(buckets) > 5) == bool(bucket_words)
+    blocks_ = held.collect()
+    assert len(blocks_) > 1
+    lists = known.toArrow()
+    for row in blocks_:
+        ids, counts = word_contexts.listed(lists.filter([of == row["block"] for of in lists["of"].to_pylist()]))
+        words = [bytes(w) for w in row["words"]]
+        assert ids.tolist() == [of_word[w]["id"] for w in words]
+        assert counts.tolist() == [want[w] for w in words]
+
+
+def test_pairs_travel_in_few_bytes():
+    """Half of what two numbers, a count and a share take, and less."""
+    rng = np.random.default_rng(7)
+    first, second = (np.minimum(rng.zipf(1.3, 40_000), 10**6).astype(np.uint64) for _ in range(2))
+    keys, uses = np.unique(first << np.uint64(32) | second, return_counts=True)
+    shares = np.log10(1 / (keys & np.uint64(0xFFFFFFFF)).astype(float)).astype("<f2")
+    data = word_contexts._packed_pairs(keys, uses, shares)
+    assert len(data) < len(keys) * 14 / 2
+    assert all((a == b).all() for a, b in zip(word_contexts._unpacked_pairs(data), (keys, uses, shares), strict=True))
+    assert [len(part) for part in word_contexts._unpacked_pairs(word_contexts._packed_pairs(keys[:0], uses[:0], shares[:0]))] == [0] * 3
