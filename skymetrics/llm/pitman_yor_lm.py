@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymetrics.llm import word_contexts
+from skymetrics.llm import blocks, word_contexts
 from skymetrics.llm.common import documents, fold_is, stored
 from skymetrics.llm.seating import seat
 
@@ -271,7 +271,7 @@ def word_values(vocabulary: DataFrame, total: int) -> DataFrame:
 
 def _scored(total: int, distinct: int, buckets: int, hot: np.ndarray, rest_of_hot: dict[int, float]):
     def score(block: pa.Table, sides: pa.Table) -> pa.Table:
-        row = word_contexts.opened(block)
+        row = word_contexts.of_block(block["file"][0].as_py())
         of_words = sides.filter(pc.is_valid(sides["numbers"]))
         returned = sides.filter(pc.is_valid(sides["bucket"])).select(["bucket", "own", "rest"]).to_pylist()
         ids, counts = word_contexts.listed(of_words)
@@ -320,7 +320,7 @@ def score(docs: DataFrame) -> DataFrame:
     valued = word_contexts.with_values(known, values)
     sides = valued.unionByName(contexts.returned, allowMissingColumns=True)
     scored = _scored(total, distinct, contexts.buckets, contexts.hot, contexts.rest_of_hot)
-    return word_contexts.files(held).groupBy("block").cogroup(sides.groupBy("of")).applyInArrow(scored, _RESULT)
+    return blocks.files(held).groupBy("block").cogroup(sides.groupBy("of")).applyInArrow(scored, _RESULT)
 
 
 def op9_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

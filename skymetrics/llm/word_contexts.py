@@ -28,13 +28,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
-import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skymetrics.llm.blocks import BLOCK_BYTES, words_of
+from skymetrics.llm.blocks import BLOCK_BYTES, files, opened, words_of
 from skymetrics.llm.common import small_batches, stored
 from skymetrics.llm.seating import seat
 from skymetrics.plans.session import scratch_folder
@@ -144,16 +142,9 @@ def build(docs: DataFrame, flag: Column, end: bytes) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
-def files(blocks: DataFrame) -> DataFrame:
-    """(block, file): where each block of ``build`` lies."""
-    return blocks.select("block", F.col("_metadata.file_path").alias("file"))
-
-
-def opened(block: pa.Table) -> dict:
+def of_block(file: str) -> dict:
     """A block without its words, from its file."""
-    system, path = pyarrow.fs.FileSystem.from_uri(block["file"][0].as_py())
-    with system.open_input_file(path) as file:
-        return pq.ParquetFile(file).read(columns=["doc_ids", "flags", "sizes", "places"]).to_pylist()[0]
+    return opened(file, ["doc_ids", "flags", "sizes", "places"]).to_pylist()[0]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -318,7 +309,7 @@ def _sending(buckets: int, hot: np.ndarray, total: int):
         if block.num_rows:
             ids, counts = listed(words)
             shares = np.log10(np.maximum(counts, 0.5) / max(total, 1)).astype("<f2")
-            pairs = Pairs(opened(block), ids)
+            pairs = Pairs(of_block(block["file"][0].as_py()), ids)
             for bucket, part in pairs.by_bucket(buckets, hot).items():
                 data = _packed_pairs(pairs.keys[part], pairs.uses[part], shares[pairs.second[part]])
                 found.append((bucket, block["block"][0].as_py(), data))
