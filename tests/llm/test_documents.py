@@ -506,6 +506,63 @@ def test_search_is_sent_files_and_floors(tmp_path):
     assert found["query_id"] == [50, 50] and sorted(found["doc_id"]) == [4, 5]
 
 
+def test_words_of_bundles_are_looked_up_at_once(tmp_path, monkeypatch):
+    """A shard does not go through its words, or those of each bundle, one by one."""
+    bags = [Counter([b"a", b"b"]), Counter([b"a", b"a", b"c"]), Counter([b"d"])]
+    shard = topk_search.blocks._block(7, [4, 5, None], [True] * 3, bags)
+    pq.write_table(pa.Table.from_batches([shard]), tmp_path / "shard")
+    asked = [
+        {"bundle": [0] * 3, "query_id": [50, 50, 100], "place": [1, 2, 1], "word": [b"a", b"x", b"b"], "weight": [0.5, 2.0, 1.0]},
+        {"bundle": [1] * 2, "query_id": [150, 200], "place": [1, 1], "word": [b"y", b"z"], "weight": [0.5, 2.0]},
+        {"bundle": [2] * 3, "query_id": [250] * 3, "place": [1, 2, 3], "word": [b"c", b"y", b"d"], "weight": [3.0, 0.5, 2.0]},
+    ]
+    for i, rows_ in enumerate(asked):
+        pq.write_table(topk_search._bundled(pa.table(rows_)), tmp_path / f"bundle{i}")
+    looked_up, places = [], topk_search.Shard.places
+    monkeypatch.setattr(topk_search.Shard, "places", lambda self, words: looked_up.append(len(words)) or places(self, words))
+    monkeypatch.setattr(topk_search.Shard, "place", property(lambda self: pytest.fail("a dictionary of all words")))
+    sent = {"file": [f"file://{tmp_path}/shard"] * 3, "bundle_file": [f"file://{tmp_path}/bundle{i}" for i in range(3)]}
+    sent["floors"] = pa.array([None] * 3, pa.list_(pa.struct([("query_id", pa.int64()), ("score", pa.float64())])))
+    found = topk_search._searched(2.0, 3)(pa.table(sent)).to_pylist()
+    assert looked_up == [8]
+    got = {(f["query_id"], f["doc_id"]): f["score"] for f in found}
+    share = lambda n, size: n * 2.2 / (n + 1.2 * (0.25 + 0.75 * size / 2))
+    want = {(50, 4): 0.5 * share(1, 2), (50, 5): 0.5 * share(2, 3), (100, 4): share(1, 2)}
+    want |= {(250, 5): 3 * share(1, 3), (250, None): 2 * share(1, 1)}
+    assert len(found) == len(got) and got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("postings", [1 << 16, 1, 7])
+def test_postings_are_added_up_in_small_parts(monkeypatch, postings):
+    monkeypatch.setattr(topk_search, "_POSTINGS", postings)
+    rng = random.Random(5)
+    bags = [Counter(b"%d" % int(60 ** rng.random()) for _ in range(rng.randint(0, 30))) for _ in range(40)]
+    block = topk_search.blocks._block(0, list(range(40)), [True] * 40, bags)
+    shard = topk_search.Shard(pa.Table.from_batches([block]), 15.0)
+    asked = [rng.sample(range(len(shard.place)), n) for n in (3, 1, 0, 20, 9)]
+    sizes, weights = np.array(list(map(len, asked))), np.array([rng.random() for words in asked for _ in words])
+    wanted, at = np.zeros((len(asked), 40)), 0
+    for i, words in enumerate(asked):
+        for word in words:
+            docs = slice(*shard.cuts[word : word + 2])
+            wanted[i, shard.doc[docs]] += shard.share[docs] * weights[at]
+            at += 1
+    sums = shard._sums(np.concatenate(asked).astype(np.int64), weights, sizes)
+    np.testing.assert_allclose(sums, wanted, rtol=1e-6)
+
+
+@pytest.mark.parametrize("end", [None, b"", b"b"])
+def test_blocks_count_words_by_column(end):
+    texts = ["A\x0bb  a\n", "", " \t\x0c\r ", "\u00c4\x85 a\xa0b \u00c9x\x1cy\x00 z", "a", "\u2003"]
+    bags = [Counter(topk_search.blocks.words_of(text) + ([] if end is None else [end])) for text in texts]
+    counted = topk_search.blocks._counted([text.encode().lower() for text in texts], end)
+    words, sizes, number, times = counted[0].to_pylist(), *(part.tolist() for part in counted[1:])
+    cuts = np.append(0, np.cumsum(sizes)).tolist()
+    got = [{words[w]: n for w, n in zip(number[a:b], times[a:b])} for a, b in zip(cuts, cuts[1:])]
+    assert got == bags and sorted(words) == sorted(set().union(*bags))
+    assert [len(part) for part in topk_search.blocks._counted([b"", b" "], None)] == [0, 2, 0, 0]
+
+
 # -- nothing to do ---------------------------------------------------------------------------
 
 
