@@ -551,6 +551,105 @@ def test_postings_are_added_up_in_small_parts(monkeypatch, postings):
     np.testing.assert_allclose(sums, wanted, rtol=1e-6)
 
 
+def bags_of_languages(rng, n):
+    """Word counts of documents in three languages that share a few words, some empty or in a language of their own."""
+    bags = []
+    for i in range(n):
+        words = [b"%s%d" % (b"abc"[i % 3 : i % 3 + 1], int(40 ** rng.random())) for _ in range(rng.randint(0, 40))]
+        bags.append(Counter(words + [b"%d" % rng.randrange(300) for _ in range(rng.randint(0, 9))]))
+    return [*bags, Counter(), Counter({b"x": 3})]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_parts_of_a_shard_lose_no_answer(monkeypatch, seed):
+    monkeypatch.setattr(topk_search, "PART", part := (10, 40, 1000)[seed % 3])
+    monkeypatch.setattr(topk_search, "STRETCH", (64, 4)[seed % 2])
+    rng = random.Random(seed)
+    bags = bags_of_languages(rng, 240)
+    ids = [*rng.sample(range(1000), len(bags) - 1), None]
+    block = topk_search.blocks._block(0, ids, [True] * len(bags), bags)
+    shard = topk_search.Shard(pa.Table.from_batches([block]), 20.0)
+    assert (len(shard.parts) > 1) == (part < 1000)
+    assert sorted(shard.docs.tolist()) == list(range(len(bags)))
+    weight = {word: rng.choice([0.0, 0.1, 1.3, 2.7, 11.0]) for word in shard.place}
+    asked = [rng.sample(sorted(bag), len(bag)) for bag in bags if bag]
+    alone = [topk_search.search([shard.postings(w, weight[w]) for w in words], 4) for words in asked]
+    numbers = np.array([shard.place[w] for words in asked for w in words])
+    weights, sizes = np.array([weight[w] for words in asked for w in words]), np.array([len(words) for words in asked])
+    for floors in (np.full(len(asked), -1.0), np.array([found[-1][0] if found else 0.5 for found in alone])):
+        found = defaultdict(list)
+        for question, doc, score in shard.best(numbers, weights, sizes, 4, floors):
+            found[question].append((score, doc))
+        for i, want in enumerate(alone):
+            assert sorted(found[i], key=lambda f: (-f[0], f[1]))[:4] == want
+
+
+def test_documents_of_a_language_are_a_part(monkeypatch):
+    """A matrix has the words that are frequent among documents alike, however rare they are in the shard."""
+    monkeypatch.setattr(topk_search, "PART", 60)
+    rng = random.Random(4)
+    bags = [Counter(b"%s%d" % (b"ab"[i % 20 == 0 :][:1], rng.randrange(30)) for _ in range(20)) for i in range(2000)]
+    block = topk_search.blocks._block(0, list(range(2000)), [True] * 2000, bags)
+    shard = topk_search.Shard(pa.Table.from_batches([block]), 20.0)
+    of = {part: {bags[i].most_common(1)[0][0][:1] for i in shard.docs[part.start : part.end]} for part in shard.parts}
+    assert all(len(languages) == 1 for languages in of.values()) and set().union(*of.values()) == {b"a", b"b"}
+    # All words of the few documents in b are postings of one document in twenty at most, and rows of their part.
+    (part,) = (part for part, languages in of.items() if languages == {b"b"})
+    words = {shard.words[int(np.flatnonzero(shard.often == i)[0])].as_py() for i in part.words}
+    assert part.end - part.start == 100 and words == {b"b%d" % i for i in range(30)}
+    assert not shard.rare.held.any()
+
+
+def test_a_shard_is_made_of_blocks(tmp_path):
+    """A task opens the blocks of a shard together, and looks words up once for all of them."""
+    rng = random.Random(7)
+    bags, ids = bags_of_languages(rng, 90), [*rng.sample(range(500), 91), None]
+    cuts = [0, 30, 30, 55, 92]
+    files = []
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
+            block = topk_search.blocks._block(i, ids[a:b], [True] * (b - a), bags[a:b])
+            pq.write_table(pa.Table.from_batches([block]), tmp_path / f"block{i}")
+            files.append(f"file://{tmp_path}/block{i}")
+    whole = topk_search.blocks._block(0, ids, [True] * len(ids), bags)
+    pq.write_table(pa.Table.from_batches([whole]), tmp_path / "whole")
+    weight = {word: rng.random() for word in sorted(set().union(*bags))}
+    rows_ = [(q, p, word, weight[word]) for q in range(0, 90, 3) for p, word in enumerate(sorted(bags[q]))]
+    asked = dict(zip(("query_id", "place", "word", "weight"), map(list, zip(*rows_))))
+    pq.write_table(topk_search._bundled(pa.table({"bundle": [0] * len(rows_)} | asked)), tmp_path / "bundle")
+    floors = pa.array([None], pa.list_(pa.struct([("query_id", pa.int64()), ("score", pa.float64())])))
+    best = []
+    for file in ("\n".join(files), f"file://{tmp_path}/whole"):
+        sent = {"file": [file], "bundle_file": [f"file://{tmp_path}/bundle"], "floors": floors}
+        found = topk_search._searched(20.0, 5)(pa.table(sent)).to_pylist()
+        order = sorted(found, key=lambda f: (f["query_id"], -f["score"], f["doc_id"] is None, f["doc_id"] or 0))
+        best.append([[f for f in order if f["query_id"] == q][:5] for q in range(0, 90, 3)])
+    assert best[0] == best[1] and sum(map(len, best[0])) > 100
+
+
+@pytest.mark.parametrize("n_docs", [50, 70_000])
+def test_postings_are_picked_with_scores_rounded_up(n_docs):
+    rng = np.random.default_rng(3)
+    pairs = np.unique(rng.integers(0, 40, 900) * n_docs + rng.integers(0, n_docs, 900))
+    number, doc = np.divmod(pairs, n_docs)
+    index = topk_search.Index(number, doc, rng.random(len(pairs)), 40, n_docs)
+    weight, asked = rng.random(40) * 12, [rng.permutation(40)[:n] for n in (1, 0, 40, 13)]
+    sizes, numbers = np.array(list(map(len, asked))), np.concatenate(asked).astype(np.int64)
+    want = index._sums(numbers, weight[numbers], sizes)
+    both, unit = index.weighed(weight)
+    got = index._sums(numbers, weight[numbers], sizes, both, unit)
+    slack = sizes[:, None] * unit if n_docs <= 1 << 16 else 1e-6 * want
+    assert (got >= want * (1 - 1e-6)).all() and (got <= want * (1 + 1e-6) + slack).all()
+    assert both.itemsize == (4 if n_docs <= 1 << 16 else 8)
+
+
+def test_shards_take_blocks_in_any_order_and_all(spark):
+    files = spark.createDataFrame([(i << 32, f"file://b{i}") for i in range(11)], "block long, file string")
+    found = {r.shard: r.file.split("\n") for r in topk_search._shards(files, 4).collect()}
+    assert {n: len(of) for n, of in found.items()} == {0: 4, 1: 4, 2: 3}
+    assert sorted(f for of in found.values() for f in of) == sorted(f"file://b{i}" for i in range(11))
+
+
 @pytest.mark.parametrize("end", [None, b"", b"b"])
 def test_blocks_count_words_by_column(end):
     texts = ["A\x0bb  a\n", "", " \t\x0c\r ", "\u00c4\x85 a\xa0b \u00c9x\x1cy\x00 z", "a", "\u2003"]
